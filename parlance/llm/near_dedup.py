@@ -1,24 +1,30 @@
 """Near duplicates: bottom-k sketches of one hash function, inverted lists, exact Jaccard.
 
-A document is the set of its distinct word shingles. Its sketch keeps the k
-smallest shingle hashes. Two documents whose sets have Jaccard similarity t
-share about t*k retained values, so of each sketch only the rarest k - c + 1
-values can be a pair's only shared ones when c or more must be shared; values
-retained by one document alone make no pair, so most documents need no list at
-all. What remains is grouped by value, filtered by the similarity estimated
-from the union of two sketches, and confirmed on the full sets. Lists that lie
-within one component are dropped before pairs are formed, and longer lists are
-dealt out in blocks, so copies are never expanded into all pairs.
+A document is the set of its distinct word shingles, its sketch the k smallest
+shingle hashes. Inverted lists are kept of retained values: of every value for
+a short document, and for others of triples of them, the smallest retained
+values of three out of 32 classes that the hash itself divides values into.
+Short documents enter the lists of so many of their rarest values that a pair of
+the wanted similarity must meet in one; others meet in one of 48 triples but
+for about one pair in a million at the threshold itself. Lists of one document
+say nothing, and most documents are in no other.
+
+Lists are never expanded into pairs. Documents are compared in blocks of
+bounded size: by the similarity that the union of their sketches estimates,
+likeliest first, then on the full sets, skipping what is connected already, so
+a block gives fewer links than it has documents. Two rounds over one list a
+document connect most copies. Of lists that then still hold several
+components, documents outside a list's largest component are compared with all
+of that component, once, and with each other in the lists, until every pair of
+different components that shares a list has been looked at.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -26,13 +32,13 @@ from .scratch import discard, materialize
 from .text import NOT_SPACE, binary_array, map_blocks, mix, words
 
 #: Retained values a document.
-SKETCH = 48
-#: Shared values that a pair of long documents must have; at similarity 0.8 a
-#: pair has 38 +- 2.8 of 48, so fewer than this come about once in 10**8 pairs.
-SHARED = 22
+SKETCH = 128
+#: Sets from this size on enter the lists of triples, sets up to that one those of values.
+LONG, SHORT = 64, 80
+CLASSES, TRIPLES = 32, 48
 #: Standard errors by which a sketch estimate may fall short of the threshold.
 SLACK = 4.5
-#: Members of one side of a block of an inverted list.
+#: Documents of one side of a block.
 BLOCK = 256
 
 
@@ -57,43 +63,65 @@ def shingle_keys(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return value, np.searchsorted(row, np.arange(found.rows + 1))
 
 
+def _triples() -> np.ndarray:
+    rng = np.random.default_rng(48)
+    return np.array([rng.choice(CLASSES, 3, replace=False) for _ in range(TRIPLES)])
+
+
+def triple_keys(value: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Keys of each row's triples of retained values; rows of sorted `value` as `first` delimits them."""
+    rows = len(first) - 1
+    size = np.diff(first)
+    row = np.repeat(np.arange(rows), size)
+    kept = np.arange(len(value)) - np.repeat(first[:-1], size) < SKETCH
+    value, row = value[kept], row[kept]
+    code, at = np.unique(row * CLASSES + (mix(value) >> np.uint64(59)).astype(np.int64), return_index=True)
+    least = np.zeros(rows * CLASSES, dtype=np.uint64)
+    least[code] = value[at]
+    least = least.reshape(rows, CLASSES)
+    out = np.tile(np.arange(TRIPLES, dtype=np.uint64), (rows, 1))
+    for i in range(3):
+        out = mix(out * np.uint64(0x9FB21C651E98DF25) + least[:, _triples()[:, i]])
+    return out
+
+
+def _lists(values: np.ndarray, size: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(values.view(np.int64)))
+
+
 def _sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """Rows (id, n, sig, sketch): size of the set, a 128-bit key of it, its smallest keys."""
+    """Rows (id, n, sig, triples, vals): size of the set, a 128-bit key of it, and its keys to the lists."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         value, first = shingle_keys(batch.column(text_col), shingle)
         n = np.diff(first)
-        take = np.minimum(n, SKETCH)
-        ends = np.cumsum(take)
-        flat = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - take, take) + np.repeat(first[:-1], take)
-        sketch = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(value[flat].view(np.int64)))
+        long = n >= LONG
+        short = np.repeat(n <= SHORT, n)
         sums = np.zeros((2, len(value) + 1), dtype=np.uint64)
         np.cumsum(value, out=sums[0, 1:])
         np.cumsum(mix(value ^ np.uint64(0x5851F42D4C957F2D)), out=sums[1, 1:])
         one, two = (mix(s[first[1:]] - s[first[:-1]]) for s in sums)
         sig = pa.array([f"{a:016x}{b:016x}" if k else None for a, b, k in zip(one.tolist(), two.tolist(), n.tolist(), strict=True)], pa.string())
-        return pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(n), sig, sketch], ["id", "n", "sig", "sketch"])
-
-    return map_blocks(docs.select(id_col, text_col), text_col, run, f"id {docs.schema[id_col].dataType.simpleString()}, n long, sig string, sketch array<long>")
+        triples = _lists(triple_keys(value, first)[long].ravel(), np.where(long, TRIPLES, 0))
+        return pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(n), sig, triples, _lists(value[short], np.where(n <= SHORT, n, 0))], ["id", "n", "sig", "triples", "vals"])
 
-
-def _needed(n: np.ndarray | int, t: float) -> np.ndarray:
-    """Shared retained values that any document of similarity `t` must have with one of `n` shingles."""
-    n = np.asarray(n)
-    return np.where(n < t * SKETCH, np.ceil(t * n - 1e-9), np.minimum(SHARED, n)).astype(np.int64)
+    return map_blocks(docs.select(id_col, text_col), text_col, run, f"id {docs.schema[id_col].dataType.simpleString()}, n long, sig string, triples array<long>, vals array<long>")
 
 
 def _keys(reps: DataFrame, t: float) -> DataFrame:
-    """Rows (id, n, v, df, sketch): the values of each set by which it can meet a similar one."""
-    values = reps.select("id", F.explode("sketch").alias("v"))
-    df = values.groupBy("v").count().where("count > 1").withColumnRenamed("count", "df")
-    shared = values.join(df, "v").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vals"))
-    m = F.size("sketch")
-    need = F.when(F.col("n") < t * SKETCH, F.ceil(t * F.col("n") - 1e-9)).otherwise(F.least(F.lit(SHARED), F.col("n"))).cast("int")
-    alone = m - F.size("vals")
-    keep = F.greatest(F.lit(0), m - need + 1 - alone)
-    keyed = reps.join(shared, "id").withColumn("vals", F.slice("vals", 1, keep)).where(F.size("vals") > 0)
-    return keyed.select("id", "n", "sketch", "vals")
+    """Rows (id, n, vals of (df, v)): the lists of two documents or more that a set enters."""
+    entered = []
+    for column in ("triples", "vals"):
+        values = reps.select("id", "n", F.explode(column).alias("v"))
+        df = values.groupBy("v").count().where("count > 1").withColumnRenamed("count", "df")
+        found = values.join(df, "v").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vals"))
+        if column == "vals":
+            # of n values, the rarest n - ceil(t * n) + 1; those in no other set are rarer than any
+            prefix = F.col("n") - F.ceil(t * F.col("n") - 1e-9) + 1
+            found = found.withColumn("vals", F.slice("vals", 1, F.greatest(F.lit(0), prefix - (F.col("n") - F.size("vals"))).cast("int"))).where(F.size("vals") > 0)
+        entered.append(found)
+    both = entered[0].unionByName(entered[1])
+    return both.groupBy("id", "n").agg(F.flatten(F.collect_list("vals")).alias("vals"))
 
 
 def _estimates(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -107,91 +135,111 @@ def _estimates(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (twice & (nth <= SKETCH)).sum(axis=1) / np.maximum(used, 1)
 
 
-def _pairs_of_block(table: pa.Table, t: float, best: bool) -> pa.Table:
-    """Pairs of different components in a block of a list that the sketches don't rule out."""
-    ids, comp, n, side = (table.column(c).to_numpy() for c in ("id", "comp", "n", "side"))
-    lists = table.column("sketch").combine_chunks()
+def _link(ids: list, comp: list, side: np.ndarray, raw: list[np.ndarray], percent: int) -> list[tuple]:
+    """Links between different components among some documents; with sides 0 and 1, across them only."""
     k = len(ids)
-    sizes = np.diff(lists.offsets.to_numpy())
-    padded = np.full((k, SKETCH), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-    padded[np.arange(SKETCH) < sizes[:, None]] = lists.flatten().to_numpy().view(np.uint64)
-    distinct, code = np.unique(padded, return_inverse=True)
-    code = code.reshape(padded.shape)
-    found_a, found_b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    holds = np.zeros((k, len(distinct)), dtype=np.float32)
-    holds[np.arange(k)[:, None], code] = 1
-    if len(distinct) and distinct[-1] == np.uint64(0xFFFFFFFFFFFFFFFF):
-        holds[:, -1] = 0
-    holds = holds[:, holds.sum(axis=0) > 1]
-    need = _needed(n, t)
-    for a in range(0, k, BLOCK):
-        for b in range(a, k, BLOCK):
-            shared = holds[a : a + BLOCK] @ holds[b : b + BLOCK].T
-            x, y = np.nonzero(shared >= np.minimum(need[a : a + BLOCK, None], need[None, b : b + BLOCK]))
-            found_a.append(x + a)
-            found_b.append(y + b)
-    x, y = np.concatenate(found_a), np.concatenate(found_b)
-    small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-    ok = (x < y) & (comp[x] != comp[y]) & (side[x] + side[y] != 0) & (small >= t * large - 1e-9)
+    n = np.array([len(x) for x in raw])
+    x, y = np.triu_indices(k, 1)
+    codes = np.unique(np.array(comp), return_inverse=True)[1]
+    ok = (codes[x] != codes[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])) & ((side[x] < 0) | (side[x] != side[y]))
     x, y = x[ok], y[ok]
-    guess = np.concatenate([np.zeros(0), *(_estimates(padded[x[i : i + 4096]], padded[y[i : i + 4096]]) for i in range(0, len(x), 4096))])
-    ok = guess >= t - SLACK * math.sqrt(t * (1 - t) / SKETCH)
-    x, y, guess = x[ok], y[ok], guess[ok]
-    if best and len(x):
-        pick = []
-        for one, other in ((x, y), (y, x)):
-            order = np.lexsort((-guess, comp[other], one))
-            key = np.ones(len(order), dtype=bool)
-            key[1:] = (one[order][1:] != one[order][:-1]) | (comp[other][order][1:] != comp[other][order][:-1])
-            pick.append(order[key])
-        pick = np.unique(np.concatenate(pick))
-        x, y = x[pick], y[pick]
-    return pa.table({"a": pa.array(np.minimum(ids[x], ids[y])), "b": pa.array(np.maximum(ids[x], ids[y]))})
-
-
-def _open_pairs(keyed: DataFrame, label: DataFrame, t: float, best: bool) -> DataFrame:
-    """Candidate pairs of different components, from the lists that hold more than one.
-
-    A list's largest component stands on one side and the rest on both; each
-    side is dealt into blocks, and a task sees one block of either side.
-    """
-    at = keyed.join(label, keyed["id"] == label["node"], "left").select("id", "n", "sketch", "vals", F.coalesce("root", "id").alias("comp"))
+    if not len(x):
+        return []
+    t = percent / 100
+    padded = np.full((k, SKETCH), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
+    for i, s in enumerate(raw):
+        padded[i, : min(len(s), SKETCH)] = s[:SKETCH]
+    guess = np.concatenate([_estimates(padded[x[i : i + 2048]], padded[y[i : i + 2048]]) for i in range(0, len(x), 2048)])
+    likely = np.flatnonzero(guess >= t - SLACK * math.sqrt(t * (1 - t) / SKETCH))
+    up = list(range(int(codes.max()) + 1))
+
+    def root(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    out = []
+    for at in likely[np.argsort(-guess[likely], kind="stable")].tolist():
+        i, j = int(x[at]), int(y[at])
+        a, b = root(codes[i]), root(codes[j])
+        if a == b:
+            continue
+        small, large = (raw[i], raw[j]) if n[i] <= n[j] else (raw[j], raw[i])
+        common = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+        if 100 * common >= percent * (len(small) + len(large) - common):
+            up[b] = a
+            out.append((ids[i], ids[j]))
+    return out
+
+
+def _linked(rows: DataFrame, sets: DataFrame, key: list[str], percent: int) -> DataFrame:
+    """Links (a, b) found in each block of `rows` (key, id, comp, side); many small blocks share a call."""
+    rows = materialize(rows.withColumn("block", F.xxhash64(*key)).select("block", "id", "comp", "side"), "near-rows")
+    calls = max(1, math.ceil(rows.count() / (4 * BLOCK)))
+
+    def run(table: pa.Table) -> pa.Table:
+        block = table.column("block").to_numpy()
+        order = np.argsort(block, kind="stable")
+        ids, comp = table.column("id").to_pylist(), table.column("comp").to_pylist()
+        side = table.column("side").to_numpy()
+        sets_ = table.column("set")
+        found: list[tuple] = []
+        for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+            if len(part) > 1:
+                raw = [np.frombuffer(sets_[int(i)].as_buffer(), dtype=np.uint64) for i in part]
+                found += _link([ids[i] for i in part], [comp[i] for i in part], side[part], raw, percent)
+        kind_ = table.schema.field("id").type
+        return pa.table({"a": pa.array([x for x, _ in found], kind_), "b": pa.array([y for _, y in found], kind_)})
+
+    kind = sets.schema["id"].dataType.simpleString()
+    joined = rows.join(sets, "id").withColumn("call", F.pmod("block", F.lit(calls)))
+    links = materialize(joined.groupBy("call").applyInArrow(run, f"a {kind}, b {kind}"), "near-links")
+    discard(rows)
+    return links
+
+
+def _open_lists(keyed: DataFrame, label: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with their components, their lists, and the lists that hold several components, one of each membership."""
+    if label is None:
+        at = keyed.withColumn("comp", F.col("id"))
+    else:
+        at = keyed.join(label, keyed["id"] == label["node"], "left").select("id", "n", "vals", F.coalesce("root", "id").alias("comp"))
     member = at.select("id", "comp", F.explode("vals.v").alias("v"))
-    per = member.groupBy("v", "comp").count()
-    stat = per.groupBy("v").agg(F.max(F.struct("count", "comp")).alias("top"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    stat = stat.select("v", F.col("top.comp").alias("main"), F.ceil(F.col("top.count") / BLOCK).cast("int").alias("mains"), F.ceil((F.col("all") - F.col("top.count")) / BLOCK).cast("int").alias("rests"))
-    open_ = member.join(stat, "v").withColumn("side", F.when(F.col("comp") == F.col("main"), 0).otherwise(1))
-    turn = F.xxhash64("id", "v")
-    own = F.when(F.col("side") == 0, F.pmod(turn, F.col("mains"))).otherwise(F.pmod(turn, F.col("rests"))).cast("int")
-    every = F.sequence(F.lit(0), F.col("rests") - 1)
-    block = lambda x, y, z: F.struct(x.cast("int").alias("kind"), y.cast("int").alias("i"), z.cast("int").alias("j"))
-    cells = F.when(F.col("side") == 0, F.transform(every, lambda j: block(F.lit(0), own, j))).otherwise(
-        F.concat(
-            F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda i: block(F.lit(0), i, own)),
-            F.when(F.col("rests") > 1, F.transform(F.filter(every, lambda j: j != own), lambda j: block(F.lit(1), F.least(own, j), F.greatest(own, j)))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>")),
-        )
-    )
-    dealt = open_.select("id", "v", "side", F.explode(cells).alias("cell")).join(at.select("id", "comp", "n", "sketch"), "id")
-    found = dealt.groupBy("v", "cell").applyInArrow(lambda table: _pairs_of_block(table, t, best), f"a {keyed.schema['id'].dataType.simpleString()}, b {keyed.schema['id'].dataType.simpleString()}")
-    return found.distinct()
-
-
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets have Jaccard similarity of `percent` or more."""
-    left, right = (sets.select(F.col("id").alias(s), F.col("set").alias(f"set_{s}")) for s in ("a", "b"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (x, y))
-                place = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                common = int((x[place] == y).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, f"a {kind}, b {kind}")
+    per = member.groupBy("v", "comp").agg(F.count(F.lit(1)).alias("count"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    stat = per.groupBy("v").agg(F.max(F.struct("count", "comp")).alias("top"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("comps"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")).where("comps > 1")
+    stat = materialize(stat.groupBy("x", "y", "all", "top").agg(F.min("v").alias("v")).select("v", "all", "top"), "near-open")
+    return at, member, stat
+
+
+def _first_rounds(keyed: DataFrame, sets: DataFrame, label: DataFrame | None, turn: int, percent: int) -> DataFrame:
+    """Links within one open list of each document, the largest or one by lot, in blocks."""
+    _, member, stat = _open_lists(keyed, label)
+    rank = -F.col("all") if turn == 0 else F.xxhash64("v", F.lit(turn))
+    mine = member.join(stat, "v").groupBy("id", "comp").agg(F.min(F.struct(rank.alias("r"), "v", "all")).alias("p"))
+    part = F.pmod(F.xxhash64("id", F.lit(turn)), F.ceil(F.col("p.all") / BLOCK))
+    return _linked(mine.select("id", "comp", F.lit(-1).alias("side"), F.col("p.v").alias("v"), part.alias("part")), sets, ["v", "part"], percent)
+
+
+def _last_round(keyed: DataFrame, sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Links between all pairs of different components that share a list."""
+    at, member, stat = _open_lists(keyed, label)
+    # a component with several members in a list is met as a whole; single members meet in the list
+    stat = stat.select("v", "all", F.when(F.col("top.count") > 1, F.col("top.comp")).alias("main"), F.when(F.col("top.count") > 1, F.col("top.count")).otherwise(0).alias("mains"))
+    rest = member.join(stat, "v").where("main is null or comp <> main")
+    outside = rest.where("main is not null").select("id", "comp", "main").distinct()
+    plan = outside.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("js")).join(at.groupBy(F.col("comp").alias("main")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("is_")), "main")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    whole = at.join(plan, at["comp"] == plan["main"]).select("id", "comp", "main", F.pmod(F.xxhash64("id", F.lit(7)), "is_").alias("i"), spread("js").alias("j")).withColumn("side", F.lit(0))
+    met = outside.join(plan, "main").select("id", "comp", "main", spread("is_").alias("i"), F.pmod(F.xxhash64("id", F.lit(7)), "js").alias("j")).withColumn("side", F.lit(1))
+    across = _linked(whole.unionByName(met), sets, ["main", "i", "j"], percent)
+
+    size = F.ceil((F.col("all") - F.col("mains")) / BLOCK).cast("int")
+    dealt = rest.withColumn("n", size).withColumn("own", F.pmod(F.xxhash64("id", "v"), "n").cast("int"))
+    others = dealt.select("id", "comp", "v", "own", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("o"))
+    cell = others.select("id", "comp", "v", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"))
+    within = _linked(cell.withColumn("side", F.lit(-1)), sets, ["v", "i", "j"], percent)
+    return across.unionByName(within)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -211,17 +259,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     seen = materialize(_sketches(docs, id_col, text_col, shingle), "near-sketches")
     full = seen.where("sig is not null and id is not null")
     classes = materialize(full.groupBy("sig").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("class_size")), "near-classes")
-    reps = full.join(classes, (full["sig"] == classes["sig"]) & (full["id"] == classes["rep"])).select(full["id"], "n", "sketch").dropDuplicates(["id", "sketch"])
+    reps = full.join(classes, (full["sig"] == classes["sig"]) & (full["id"] == classes["rep"])).select(full["id"], "n", "triples", "vals")
     keyed = materialize(_keys(reps, t), "near-keys")
 
-    # three lists a document are enough to meet most partners; the rest is checked below
-    few = keyed.select("id", "n", F.explode(F.slice(F.array_sort(F.transform("vals", lambda x: F.struct(F.xxhash64(x["v"]).alias("o"), x["v"].alias("v"), x["df"].alias("df")))), 1, 3)).alias("x"))
-    part = F.pmod(F.xxhash64("id", "x.v"), F.ceil(F.col("x.df") / BLOCK))
-    spot = Window.partitionBy(F.col("x.v"), part).orderBy("n", "id")
-    near = few.select("id", "n", F.lag("id").over(spot).alias("p"), F.lag("n").over(spot).alias("pn"), F.first("id").over(spot).alias("q"), F.first("n").over(spot).alias("qn"))
-    step = near.select("id", "n", F.explode(F.array(F.struct(F.col("p").alias("o"), F.col("pn").alias("on")), F.struct(F.col("q").alias("o"), F.col("qn").alias("on")))).alias("e"))
-    first = step.where("e.o is not null and e.o <> id").where(F.col("e.on") >= t * F.col("n") - 1e-9).select(F.least("id", "e.o").alias("a"), F.greatest("id", "e.o").alias("b")).distinct()
-
     wanted = keyed.select(F.col("id").alias("w")).distinct()
 
     def sets_of(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -232,13 +272,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = docs.schema[id_col].dataType.simpleString()
     sets = materialize(map_blocks(source, "text", sets_of, f"id {kind}, set binary").dropDuplicates(), "near-sets")
 
-    links = materialize(_confirm(first, sets, percent).distinct(), "near-links")
+    links = _first_rounds(keyed, sets, None, 0, percent)
+    label = connected_components(links, "near")
+    links = links.unionByName(_first_rounds(keyed, sets, label, 1, percent))
+    label = connected_components(links, "near")
+    links = links.unionByName(_last_round(keyed, sets, label, percent))
     label = connected_components(links, "near")
-    for best in (True, False):
-        more = materialize(_confirm(_open_pairs(keyed, label, t, best), sets, percent).distinct(), "near-links")
-        links = links.union(more)
-        if more.limit(1).count():
-            label = connected_components(links, "near")
     discard(sets)
 
     same_id = classes.join(label, classes["rep"] == label["node"], "left").select("sig", "class_size", F.coalesce("root", "rep").alias("root"))
