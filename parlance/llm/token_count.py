@@ -25,11 +25,13 @@ from .text import blocks
 #: Bytes of a block; any multiple of the id's width will do.
 BLOCK_BYTES = 1 << 18
 #: Bytes of text in one stream.
-STREAM_BYTES = 1 << 25
+STREAM_BYTES = 1 << 22
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-tokenization pattern of the vocabulary, and its free id.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEPARATOR = 50256
+#: Bytes of an id of that vocabulary.
+WIDTH = 2
 
 
 def bpe(path: str = VOCABULARY) -> Callable[[str], list[int]]:
@@ -41,8 +43,8 @@ def bpe(path: str = VOCABULARY) -> Callable[[str], list[int]]:
     return tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
-def write_streams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, separator: int = SEPARATOR, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
-    """Tokenize whole texts into flat streams of uint32 ids; return their blocks and the ids' order.
+def write_streams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, separator: int = SEPARATOR, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Tokenize whole texts into flat streams of ids of `width` bytes; return their blocks and the ids' order.
 
     Blocks: stream, block, data. Order: stream, ordinal, id. Streams hold
     bounded amounts of text; a null text is an empty document.
@@ -58,9 +60,8 @@ def write_streams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         def close() -> Iterator[pa.RecordBatch]:
             data = np.concatenate(kept).tobytes()
             cuts = range(0, len(data), block_bytes)
-            n = len(cuts)
-            order = pa.nulls(n, id_type)
-            yield pa.RecordBatch.from_arrays([pa.array([stream] * n, pa.int64()), pa.array(range(n), pa.int64()), order, pa.array([data[c : c + block_bytes] for c in cuts], pa.binary())], ["stream", "at", "id", "data"])
+            for i, c in enumerate(cuts):
+                yield pa.RecordBatch.from_arrays([pa.array([stream], pa.int64()), pa.array([i], pa.int64()), pa.nulls(1, id_type), pa.array([data[c : c + block_bytes]], pa.binary())], ["stream", "at", "id", "data"])
             m = len(ids)
             yield pa.RecordBatch.from_arrays([pa.array([stream] * m, pa.int64()), pa.array(range(m), pa.int64()), pa.array(ids, id_type), pa.nulls(m, pa.binary())], ["stream", "at", "id", "data"])
 
@@ -70,7 +71,7 @@ def write_streams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 part = batch.slice(a, b - a)
                 for doc, text in zip(part.column(id_col).to_pylist(), part.column(text_col).to_pylist(), strict=True):
                     tokens = encode(text) if text else []
-                    kept.append(np.array([*tokens, separator], dtype=np.uint32))
+                    kept.append(np.array([*tokens, separator], dtype=f"<u{width}"))
                     ids.append(doc)
                     size += len(text or "")
                 if size >= STREAM_BYTES:
@@ -93,7 +94,7 @@ def read_streams(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES)
     return files.select(F.xxhash64("path").alias("stream"), "content", F.explode(cuts).alias("b")).select("stream", F.col("b").cast("long").alias("block"), F.expr(f"substring(content, b * {block_bytes} + 1, {block_bytes})").alias("data"))
 
 
-def count_tokens(blocks_: DataFrame, separator: int = SEPARATOR, width: int = 4) -> DataFrame:
+def count_tokens(blocks_: DataFrame, separator: int = SEPARATOR, width: int = WIDTH) -> DataFrame:
     """Rows (stream, ordinal, n_tokens), one a document; separators don't count.
 
     A run without a separator after the last one is a document that a stream
@@ -134,11 +135,11 @@ def count_tokens(blocks_: DataFrame, separator: int = SEPARATOR, width: int = 4)
     return closed.unionByName(left)
 
 
-def count_document_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, separator: int = SEPARATOR) -> DataFrame:
+def count_document_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, separator: int = SEPARATOR, width: int = WIDTH) -> DataFrame:
     """Rows (id, n_tokens, stream, ordinal) for every row of `docs`, through flat streams.
 
     Null and empty texts have 0 tokens; ids may be null or repeat; an empty
     table gives no rows; other columns are not read.
     """
-    data, order = write_streams(docs, id_col, text_col, vocabulary, separator)
-    return order.join(count_tokens(data, separator), ["stream", "ordinal"]).select(F.col("id").alias(id_col), "n_tokens", "stream", "ordinal")
+    data, order = write_streams(docs, id_col, text_col, vocabulary, separator, width)
+    return order.join(count_tokens(data, separator, width), ["stream", "ordinal"]).select(F.col("id").alias(id_col), "n_tokens", "stream", "ordinal")
