@@ -174,7 +174,7 @@ def _member(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def train(sample: pa.Table, rounds: int = 60, seed: int = 5) -> Model:
     """Fit the chain and the curve on columns text and label; without both labels, a model that scores low."""
-    model = Model(np.zeros(1 << TABLE_BITS, dtype=np.float32), -6.0, np.zeros((2, 2)), np.array([-6.0, 2.0, 2.0, 2.0]))
+    model = Model(np.zeros(1 << TABLE_BITS, dtype=np.float32), -6.0, np.zeros((2, 2)), np.array([-6.0, 0.0, 0.0, 0.0]))
     text = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
     label = sample.column("label").to_numpy().astype(np.int64) if sample.num_rows else np.zeros(0, dtype=np.int64)
     if len(set(label.tolist())) < 2:
