@@ -25,7 +25,7 @@ SAMPLE_CHARS = 20_000
 TABLE_BITS = 18
 THRESHOLD = 0.7
 #: Byte lengths of the word beginnings and endings that are features.
-HEADS, TAILS = (3, 4, 5, 6), (3, 4)
+HEADS, TAILS = (3, 4, 5, 6, 7, 8), (3, 4)
 
 _STOP = np.zeros(256, dtype=bool)
 _STOP[[0x0A, 0x21, 0x2E, 0x3F]] = True
@@ -172,8 +172,8 @@ def _member(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, keys), len(table) - 1)] == keys
 
 
-def train(sample: pa.Table, rounds: int = 60, seed: int = 5) -> Model:
-    """Fit the chain and the curve on columns text and label; without both labels, a model that scores low."""
+def train(sample: pa.Table, prior: float = 0.5, rounds: int = 60, seed: int = 5) -> Model:
+    """Fit the chain and the curve on columns text and label; `prior` is the share of label 1. Without both labels, a model that scores low."""
     model = Model(np.zeros(1 << TABLE_BITS, dtype=np.float32), -6.0, np.zeros((2, 2)), np.array([-6.0, 0.0, 0.0, 0.0]))
     text = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
     label = sample.column("label").to_numpy().astype(np.int64) if sample.num_rows else np.zeros(0, dtype=np.int64)
@@ -185,16 +185,26 @@ def train(sample: pa.Table, rounds: int = 60, seed: int = 5) -> Model:
         key = hash((t, int(label[i])))
         weight[i] = key not in seen
         seen.add(key)
-    parts: list[list] = [[] for _ in range(1 + len(HEADS) + len(TAILS))]
+    # what occurs in a document, by kind; after that, the beginnings that two of its words or more go on from
+    parts: list[list] = [[] for _ in range(1 + 2 * len(HEADS))]
     for a, b in blocks(text):
         found = words(text.slice(a, b - a), ALNUM)
-        for kind, row in enumerate(feature_keys(found)):
-            order = np.lexsort((row, found.row))
-            doc, key = found.row[order], row[order]
-            fresh = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])) if len(key) else np.zeros(0, dtype=bool)
-            fresh &= key != 0
-            parts[kind].append((doc[fresh] + a, key[fresh]))
-    cues = _cues([tuple(np.concatenate(x) for x in zip(*p, strict=True)) for p in parts[: 1 + len(HEADS)]], label, weight)
+        keys = feature_keys(found)
+        for kind in range(1 + len(HEADS)):
+            key, doc, word = keys[kind], found.row, keys[0]
+            if kind:
+                word = np.where(found.end - found.start > HEADS[kind - 1], word, 0)
+            order = np.lexsort((word, key, doc))
+            doc, key, word = doc[order], key[order], word[order]
+            head = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])) if len(key) else np.zeros(0, dtype=bool)
+            parts[kind].append((doc[head & (key != 0)] + a, key[head & (key != 0)]))
+            if kind:
+                fresh = (head | np.append(True, word[1:] != word[:-1])) & (word != 0) if len(key) else head
+                at = np.flatnonzero(head)
+                twice = np.add.reduceat(fresh.astype(np.int64), at) >= 2 if len(at) else np.zeros(0, dtype=bool)
+                at = at[twice & (key[at] != 0)] if len(at) else at
+                parts[kind + len(HEADS)].append((doc[at] + a, key[at]))
+    cues = _cues([tuple(np.concatenate(x) for x in zip(*p, strict=True)) for p in parts], label, weight)
 
     rng = np.random.default_rng(seed)
     taken: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -241,7 +251,8 @@ def train(sample: pa.Table, rounds: int = 60, seed: int = 5) -> Model:
         found = words(text.slice(a, b - a), ALNUM)
         rows.append(_totals(model.tag(found), found))
     x = np.concatenate(rows)
-    share = np.where(label == 1, weight * label / max(1, (weight * label).sum()), weight * (1 - label) / max(1, (weight * (1 - label)).sum())) * len(label) / 2
+    positive, negative = weight * label, weight * (1 - label)
+    share = len(label) * (prior * positive / max(1, positive.sum()) + (1 - prior) * negative / max(1, negative.sum()))
     curve = np.array([-2.0, 1.0, 1.0, 1.0])
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ curve, -30, 30)))
@@ -259,7 +270,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     `max_chars` characters each.
     """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(fold("doc_id", 3) != 1)
-    return train(labelled_sample(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), known, per_label, max_chars))
+    share = known.where("label is not null").agg(F.avg("label")).first()[0]
+    sample = labelled_sample(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), known, per_label, max_chars)
+    return train(sample, min(0.95, max(0.05, share if share is not None else 0.5)))
 
 
 def _spans(found: Words, p: np.ndarray) -> list[list[tuple[int, int]]]:
