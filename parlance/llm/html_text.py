@@ -18,7 +18,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import materialize
 from .text import map_blocks
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>", re.DOTALL)
@@ -179,7 +178,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         )
 
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    parsed = materialize(map_blocks(source, "html", parse, f"id {kinds[id_col]}, url {kinds[url_col]}, lines array<string>, inside array<boolean>"), "html-lines")
+    # parsed twice, for the bounds of the ranges and for the shuffle: cheaper than a copy of the text on disk
+    parsed = map_blocks(source, "html", parse, f"id {kinds[id_col]}, url {kinds[url_col]}, lines array<string>, inside array<boolean>")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
     path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     owners = partitions or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
