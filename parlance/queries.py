@@ -127,10 +127,10 @@ def chat_plan_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.plan(_chats(spark, sf_dir), policy, internal).select("id", "reason", "included", "merged_into")
 
 
-@query("""SELECT conv_id AS chat_id FROM conversations GROUP BY conv_id HAVING count(*) FILTER (role <> 'system') > 0 AND bool_and(role = 'assistant') FILTER (role <> 'system')""")
+@query("""SELECT conv_id AS chat_id FROM conversations GROUP BY conv_id HAVING count(*) FILTER (role <> 'system') > 0 AND bool_and(role = 'assistant' OR conv_id % 3 = 0) FILTER (role <> 'system')""")
 def internal_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "conversations")
-    return chats.internal_chats(c.select(F.col("conv_id").alias("chat_id"), (F.col("role") == "system").alias("is_bot"), (F.col("role") == "assistant").alias("is_staff"), F.lit(True).alias("complete")))
+    return chats.internal_chats(c.select(F.col("conv_id").alias("chat_id"), (F.col("role") == "system").alias("is_bot"), ((F.col("role") == "assistant") | (F.col("conv_id") % 3 == 0)).alias("is_staff"), F.lit(True).alias("complete")))
 
 
 @query("""
@@ -153,11 +153,11 @@ def roles_and_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _staff(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _read(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
-    return s.select(F.when(k % 2 == 0, F.concat(F.lit("@CUST_"), (k * 3).cast("string"))).otherwise((k * 5).cast("string")).alias("entry"), F.when(k % 3 == 0, "sales").when(k % 3 == 1, "support").otherwise("other").alias("role"))
+    return s.select(F.when(k % 2 == 0, F.concat(F.lit("@CUST_"), (k * 30).cast("string"))).otherwise((k * 50).cast("string")).alias("entry"), F.when(k % 3 == 0, "sales").when(k % 3 == 1, "support").otherwise("other").alias("role"))
 
 
 _STAFF_SQL = """
-    WITH s AS (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'cust_' || (s_suppkey * 3) ELSE CAST(s_suppkey * 5 AS VARCHAR) END AS entry,
+    WITH s AS (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'cust_' || (s_suppkey * 30) ELSE CAST(s_suppkey * 50 AS VARCHAR) END AS entry,
                       CASE s_suppkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 3 END AS rank FROM supplier)"""
 
 
@@ -470,10 +470,11 @@ def custom_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT event_id, key AS path, json_extract_string(props, '$.' || key) AS leaf FROM events, unnest(json_keys(props)) AS t(key)
-          WHERE json_type(props, '$.' || key) = 'VARCHAR'""")
+          WHERE json_type(props, '$.' || key) = 'VARCHAR'
+          UNION ALL SELECT event_id, key, key FROM events, unnest(json_keys(props)) AS t(key)""")
 def json_flatten_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _read(spark, sf_dir, "events").select("event_id", F.explode(audit.json_units(F.col("props"))).alias("u"))
-    return e.where("u.path <> u.text or u.text is null").select("event_id", F.col("u.path").alias("path"), F.col("u.text").alias("leaf"))
+    return e.select("event_id", F.col("u.path").alias("path"), F.col("u.text").alias("leaf"))
 
 
 # ---- render and pack -------------------------------------------------------
@@ -557,9 +558,9 @@ def peers_share_vid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.shared_vid(p).select("primary_id", "peer_id", "vid")
 
 
-@query("""SELECT n_nationkey AS id, lower(n_name) AS surname FROM nation WHERE regexp_matches(lower(trim(n_name)), '^[a-z][a-z''-]{2,}$')""")
+@query("""SELECT c_custkey AS id, lower(trim(c_mktsegment)) AS surname FROM customer WHERE regexp_matches(lower(trim(c_mktsegment)), '^[a-z][a-z''-]{2,}$')""")
 def surname_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = _read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), identity.surname_field(F.col("n_name")).alias("surname"))
+    n = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), identity.surname_field(F.col("c_mktsegment")).alias("surname"))
     return n.where("surname is not null")
 
 
