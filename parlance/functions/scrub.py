@@ -206,7 +206,7 @@ class Scrubber:
 
     # -- entry points
 
-    def _entities(self, text: str, entities: list[dict]) -> str:
+    def apply_entities(self, text: str, entities: list[dict]) -> str:
         """Replace annotated spans, from the right; later ones that overlap an earlier claim are skipped."""
         claims = Claims(text)
         for e in sorted(entities, key=lambda e: (-e["offset"], -e["length"])):
@@ -248,7 +248,7 @@ class Scrubber:
     def scrub(self, text: str | None, entities: list[dict] | None = None) -> str:
         if not text:
             return text or ""
-        return self.run(self._entities(text, entities) if entities else text).result()
+        return self.run(self.apply_entities(text, entities) if entities else text).result()
 
     def hits(self, text: str | None) -> list[tuple[str, int, int, str, str]]:
         """(rule, start, end, surface, replacement) in the normal form of `text`."""
@@ -270,21 +270,32 @@ HITS = "struct<text:string,hits:array<struct<rule:string,start:int,end:int,surfa
 LEAKS = "array<struct<kind:string,match:string>>"
 
 
-def scrub_column(text: Column, policy: Anonymize | None = None, roster: Roster | None = None) -> Column:
-    """Struct of the scrubbed text and its hits; patterns compile once a worker."""
+def scrub_column(text: Column, policy: Anonymize | None = None, roster: Roster | None = None, entities: Column | None = None) -> Column:
+    """Struct of the scrubbed text and its hits; patterns compile once a worker.
+
+    With `entities` (array of type, offset, length, url, user_id; offsets in
+    UTF-16 units) annotated spans go first.
+    """
+
+    def one(own: Scrubber, t: str | None, marks: list | None = None) -> tuple[str | None, list[dict]]:
+        if not t:
+            return t, []
+        claims = own.run(own.apply_entities(t, [m if isinstance(m, dict) else m.asDict() for m in marks]) if marks is not None and len(marks) else t)
+        return claims.result(), [{"rule": r, "start": a, "end": b, "surface": claims.text[a:b], "replacement": new} for a, b, new, r in sorted(claims.spans) if r != "kept"]
 
     @F.pandas_udf(HITS)
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Scrubber(policy, roster)
         for part in parts:
-            texts, hits = [], []
-            for t in part:
-                claims = own.run(t) if t else None
-                texts.append(claims.result() if claims else t)
-                hits.append([{"rule": r, "start": a, "end": b, "surface": claims.text[a:b], "replacement": new} for a, b, new, r in sorted(claims.spans) if r != "kept"] if claims else [])
-            yield pd.DataFrame({"text": texts, "hits": hits})
+            yield pd.DataFrame([one(own, t) for t in part], columns=["text", "hits"])
 
-    return run(text)
+    @F.pandas_udf(HITS)
+    def run_marked(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        own = Scrubber(policy, roster)
+        for part, marks in parts:
+            yield pd.DataFrame([one(own, t, m) for t, m in zip(part, marks, strict=True)], columns=["text", "hits"])
+
+    return run(text) if entities is None else run_marked(text, entities)
 
 
 def scan_column(text: Column, policy: Anonymize | None = None, roster: Roster | None = None) -> Column:
