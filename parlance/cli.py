@@ -47,7 +47,7 @@ def cmd_anonymize(spark: SparkSession, args: argparse.Namespace, policy: policie
     except audit.LeakError as e:
         print(f"not written: {e}", file=sys.stderr)
         return 3
-    store.write_dataset(made.messages, made.episodes, made.transcripts, args.out)
+    store.write_dataset({"messages": made.messages, "episodes": made.episodes, "users": made.users, "chats": made.chats}, made.transcripts, made.chunks(), made.manifest(), args.out)
     made.mapping.write.mode("overwrite").parquet(f"{old}.new")
     spark.read.parquet(f"{old}.new").write.mode("overwrite").parquet(str(old))
     store.write_private_json(Path(args.work, "manifest.json"), made.manifest())

@@ -34,7 +34,7 @@ class Rule:
 
 #: Between a label and its value: punctuation, a filler word, one line break.
 GAP = r"(?:[ \t]{0,3}(?:[:=\-–—#№\"'(\[«>]|is|are|это|был[аио]?|will be|=>|->)){0,3}(?:[ \t]{0,3}\n)?[ \t]{0,3}[\"'«(\[]{0,2}"
-_L = r"(?<![^\W_])"
+_L = r"(?<![^\W_])(?<!</)"
 
 
 def shape(name: str, placeholder: str, pattern: str, accept: Accept | None = None, hints: tuple[str, ...] = (), flags: int = 0, digits: bool = False, render: Callable[[re.Match], str] | None = None) -> Rule:
@@ -131,7 +131,7 @@ def password_ok(m: re.Match) -> bool:
     strong = any(c.isdigit() for c in v) or any(not c.isalnum() and c not in ".,;:!?-" for c in v) or not v.islower() and not v.istitle() and not v.isupper()
     if strong:
         return True
-    if _OUTCOME.search(v) or re.match(r"[ \t]+\w", _after(m, 3)):
+    if _OUTCOME.search(v) or re.match(r"[ \t]+[\w<\ue000]", _after(m, 3)):
         return False
     return len(v) >= 4 and bool(re.search(r"[:=\"'\n]", m.string[m.end("kw") : m.start("val")]))
 

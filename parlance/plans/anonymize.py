@@ -54,6 +54,12 @@ class Dataset:
             "first_date": m["first"] and m["first"].isoformat() + "Z", "last_date": m["last"] and m["last"].isoformat() + "Z", "transcript_parts": self.transcripts.count(), "policy": self.policy.public_snapshot(),
         }
 
+    def chunks(self) -> DataFrame:
+        """Rows (chunk, chat, part, text): transcript parts packed in the order of chats."""
+        sized = self.transcripts.withColumn("size", F.length("text"))
+        packed = render.pack_chunks(sized, ["chat", "part"], "size", self.policy.output.max_chars or 1 << 60)
+        return packed.drop("size").join(self.transcripts, ["chat", "part"])
+
     def units(self) -> DataFrame:
         """Every free text that would be written, with its location."""
         text = self.messages.select(F.concat_ws(":", F.lit("messages"), "chat", F.col("seq").cast("string")).alias("location"), "text")
@@ -177,7 +183,7 @@ def anonymize(raw: Raw, policy: Policy, mapping: DataFrame, persist: Callable[[D
     chats = heads.join(chat_vid, "logical").join(messages.chat_stats(out), "chat").join(messages.by_side(out), "chat")
     chats = chats.select(F.col("chat").alias("vid"), (F.col("title") if a.keep_chat_titles else F.col("chat")).alias("title"), "kind", "is_forum", "participant_count", "message_count", "by_side", "episodes", "first_date", "last_date")
     lines = messages.turn_continuation(out.join(users.select(F.col("vid").alias("sender"), "name"), "sender", "left"), ["chat", "episode"], ["seq"], "date", "sender", F.col("reply_to").isNotNull() | F.col("forwarded").isNotNull() | F.col("action").isNotNull(), o.turn_merge_seconds)
-    transcripts = render.render_parts(render.transcript_lines(lines, o), o.max_chars)
+    transcripts = persist(render.render_parts(render.transcript_lines(lines, o), o.max_chars), "transcripts")
     clients = judged.where("role not in ('bot', 'support', 'sales', 'other', 'anonymous', 'system')")
     return Dataset(
         messages=out.drop("hits"), episodes=messages.episode_rollup(out), users=users, chats=chats, transcripts=transcripts, mapping=grown, dropped=dropped,

@@ -8,7 +8,7 @@ import os
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.messages import dedup_latest
@@ -99,15 +99,42 @@ def write_private_json(path: str | Path, value: object) -> None:
         raise
 
 
-def write_dataset(messages: DataFrame, episodes: DataFrame, parts: DataFrame, path: str) -> None:
-    """The shareable tables below `path`, through a staging folder that is swapped in by rename."""
-    spark = messages.sparkSession
+def put_inspections(cache: DataFrame, new: DataFrame) -> DataFrame:
+    """The cache with newer inspections of an account's chats in place of older ones."""
+    both = cache.unionByName(new)
+    newest = F.row_number().over(Window.partitionBy("me_id", "chat_id").orderBy(F.col("inspected_at").desc()))
+    return both.withColumn("__rank", newest).where("__rank = 1").drop("__rank")
+
+
+README = """# Conversation dataset
+
+messages/ and episodes/ hold JSON lines, users/ and chats/ one JSON object a
+line, transcripts/ Markdown text by chat and part, chunks/ the same text packed
+for reading in one piece, manifest.json counts, dates and the public policy.
+"""
+
+
+def write_dataset(tables: dict[str, DataFrame], transcripts: DataFrame, chunks: DataFrame, manifest: dict, path: str) -> None:
+    """The shareable dataset below `path`, through a staging folder that is swapped in by rename.
+
+    `tables` are written as JSON lines, `transcripts` (chat, part, text) and
+    `chunks` (chunk, chat, part, text) as text, one folder a part or chunk;
+    nothing but the manifest passes the driver.
+    """
+    spark = transcripts.sparkSession
     staging = f"{path}.staging"
-    messages.write.mode("overwrite").json(f"{staging}/messages")
-    episodes.write.mode("overwrite").json(f"{staging}/episodes")
-    parts.select("text", "chat").write.mode("overwrite").partitionBy("chat").text(f"{staging}/transcripts")
+    for name, df in tables.items():
+        df.write.mode("overwrite").json(f"{staging}/{name}")
+    transcripts.select("text", "chat", "part").write.mode("overwrite").partitionBy("chat", "part").text(f"{staging}/transcripts")
+    ordered = chunks.repartition("chunk").sortWithinPartitions("chunk", "chat", "part")
+    ordered.select("text", "chunk").write.mode("overwrite").partitionBy("chunk").text(f"{staging}/chunks")
+    chunks.select("chunk", "chat", "part", F.length("text").alias("chars")).write.mode("overwrite").json(f"{staging}/index")
     jvm = spark._jvm
     target, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    for name, text in (("manifest.json", json.dumps(manifest, ensure_ascii=False, indent=1, sort_keys=True)), ("README.md", README)):
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{staging}/{name}"), True)
+        out.write(bytearray(text.encode()))
+        out.close()
     fs.delete(target, True)
     fs.rename(new, target)

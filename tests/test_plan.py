@@ -83,6 +83,10 @@ def test_command_line(spark, store_dir, capsys):
     args = ["--raw", str(store_dir / "raw"), "--work", str(store_dir / "work"), "--out", str(store_dir / "out"), "--config", str(store_dir / "c.toml")]
     assert cli.main(["chats", *args], spark) == 0
     assert cli.main(["run", *args], spark) == 0
+    out = store_dir / "out"
+    assert {p.name for p in out.iterdir() if not p.name.startswith(".")} == {"messages", "episodes", "users", "chats", "transcripts", "chunks", "index", "manifest.json", "README.md"}
+    assert json.loads((out / "manifest.json").read_text())["messages"] == 9
+    assert len([p for p in (out / "chunks").iterdir() if p.name.startswith("chunk=")]) == 1
     assert cli.main(["verify", *args[:-1], str(store_dir / "missing.toml")], spark) == 1
     (store_dir / "out" / "extra.jsonl").write_text(json.dumps({"text": "ivan_petrov lives, Petrov too, at Romashka 79161234567"}) + "\n")
     assert cli.main(["verify", *args], spark) == 4
