@@ -33,7 +33,7 @@ class Rule:
 
 
 #: Between a label and its value: punctuation, a filler word, one line break.
-GAP = r"(?:[ \t]{0,3}(?:[:=\-–—#№\"'(\[«>]|is|are|это|был[аио]?|will be|=>|->)){0,3}(?:[ \t]{0,3}\n)?[ \t]{0,3}[\"'«(\[]{0,2}"
+GAP = r"(?:[ \t]{0,3}(?:[:=\-–—#№\"'(\[«>]|is|are|это|был[аио]?|will be|нов(?:ый|ая|ые)|стар(?:ый|ая)|временн(?:ый|ая)|new|old|temporary|=>|->)){0,3}(?:[ \t]{0,3}\n)?[ \t]{0,3}[\"'«(\[]{0,2}"
 _L = r"(?<![^\W_])(?<!</)"
 
 
@@ -117,7 +117,9 @@ def otp_ok(m: re.Match) -> bool:
     return not (m.string[: m.start()].rstrip().endswith('"') or re.search(r"\"\s*:\s*$", m.string[m.end("kw") : m.start("val")]) is not None and len(v) <= 5)
 
 
-_OUTCOME = re.compile(r"(?:не\w{0,2}\s|неверн|неправильн|сброшен|ист[её]к|устарел|подходит|expired|null|none|true|false|required|invalid|wrong|incorrect|reset|changed|mismatch|ошибк|error|минимум|только|прид[её]т|отправ|will|must|should|from|for|and|or|the|is|был|от|для|на|из|в|с|и|или|у|по|при|через|можно|нужно|надо|забыл|не)$", I)
+_OUTCOME = re.compile(
+    r"(?:не\b|неверн\w*|неправильн\w*|сброшен\w*|ист[её]к\w*|устарел\w*|подход\w*|минимум|максимум|только|прид[её]т|отправ\w*|выда\w*|можно|нужн\w*|надо|забыл\w*|ошибк\w*|от|для|на|из|в|с|и|или|у|по|при|через|был|"
+    r"expired|null|none|true|false|required|invalid|wrong|incorrect|reset|changed|mismatch|error|will|must|should|from|for|and|or|the|is|not|at least|minimum|only)(?=\s|$)", I)
 _TEMPLATE = re.compile(r"^(?:[$%]?\{.*\}|\$\(.*\)|<.*>|\[.*\]|\*+|x{3,}|\.{3,}|см\.?|храним|выда[её]тся|see|stored)", I)
 
 
@@ -128,10 +130,12 @@ def password_ok(m: re.Match) -> bool:
         return False
     if re.fullmatch(r"[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)+", v) or re.match(r"\d{1,3}(?:[-–]\d{1,3})?$", v) and re.match(r"\s*(?:симв|знак|char|digit|цифр|мин|min)", _after(m, 12), I):
         return False
-    strong = any(c.isdigit() for c in v) or any(not c.isalnum() and c not in ".,;:!?-" for c in v) or not v.islower() and not v.istitle() and not v.isupper()
+    if " " in v and _OUTCOME.match(v):
+        return False
+    strong = any(c.isdigit() for c in v) or any(not c.isalnum() and c not in " .,;:!?-" for c in v) or not v.islower() and not v.istitle() and not v.isupper()
     if strong:
         return True
-    if _OUTCOME.search(v) or re.match(r"[ \t]+[\w<\ue000]", _after(m, 3)):
+    if _OUTCOME.match(v) or re.match(r"[ \t]+[\w<\ue000]", _after(m, 3)):
         return False
     return len(v) >= 4 and bool(re.search(r"[:=\"'\n]", m.string[m.end("kw") : m.start("val")]))
 
@@ -159,7 +163,7 @@ def reads_as_identifier(v: str) -> bool:
     for p in parts:
         if p.isalpha() and (p.islower() or p.isupper() or p.istitle()) and len(p) <= 20:
             continue
-        if p.isdigit() and len(p) <= 4 or re.fullmatch(r"v?\d{1,4}[a-z]?", p, I):
+        if p.isdigit() and len(p) <= (9 if "/" in v else 4) or re.fullmatch(r"v?\d{1,4}[a-z]?", p, I):
             continue
         return False
     return not any(p.lower() in ("secret", "password", "passwd", "token") for p in parts)
@@ -399,7 +403,7 @@ FINANCE_RULES = [
     shape("known_secret", "<token>", rf"(?<![A-Za-z0-9_])(?:{'|'.join(KNOWN_SECRETS)})(?![A-Za-z0-9])"),
     shape("env_secret", "<token>", r"(?<![A-Za-z0-9])(?:[A-Za-z0-9]{1,30}[_.-]){0,5}(?:secret(?:_key)?|token|api_?key|private_?key|access_?key|auth_?key)[\"']?\s{0,2}(?:=>|:=|[:=])\s{0,2}[\"']?(?P<val>[^\s\"',;<>\ue000]{6,200})", secret_ok, ("secret", "token", "key"), I),
     shape("password", "<password>", r"(?<![A-Za-z0-9])(?:[A-Za-z0-9]{1,30}[_.-]){1,5}(?:password|passwd|pwd|pass)[\"']?\s{0,2}(?:=>|:=|[:=])\s{0,2}[\"']?(?P<val>[^\s\"',;<>\ue000]{3,200})", password_ok, ("pass", "pwd"), I),
-    keyword("password", "<password>", _PASSWORD + _PASS_TAIL, r"(?<=[\"'«])[^\"'»\n\ue000]{3,60}(?=[\"'»])|[^\s\"'«»,;<>()\ue000]{3,64}", password_ok, ("парол", "порол", "пасворд", "pass", "pwd", "pw", "кодовое")),
+    keyword("password", "<password>", _PASSWORD + _PASS_TAIL, r"(?<=[\"'«])[^\"'»\n\ue000]{3,60}(?=[\"'»])|[^\s\"'«»,;<>(){}\[\]\ue000]{3,64}", password_ok, ("парол", "порол", "пасворд", "pass", "pwd", "pw", "кодовое")),
     shape("password", "<password>", r"(?:mysql|mariadb|psql|mongo|redis-cli|sshpass|mysqldump|ftp|lftp)\b[^\n]{0,120}?\s-p[ =]?(?P<val>[^\s\"'<>\ue000]{4,64})", None, ("-p",), I),
     keyword("2fa_secret", "<2fa-secret>", r"2fa(?:[ -]?(?:secret|key|код|ключ|секрет))?|totp|authenticator(?: key)?|двухфактор\w*(?: ключ| код)?", r"[A-Za-z2-7]{16,64}|(?:[A-Za-z2-7]{4}[ -]){3,15}[A-Za-z2-7]{4}", base32_ok, ("2fa", "totp", "authent", "двухфактор")),
     keyword("basic_auth", "<token>", r"basic", r"[A-Za-z0-9+/]{8,}={0,2}", basic_ok, ("basic",)),
@@ -421,7 +425,7 @@ FINANCE_RULES = [
     keyword("exchange_uid", "<id>", r"(?:binance|bybit|okx|kucoin|huobi|htx|mexc|gate\.io|bitget)(?:[ _-]?(?:uid|id|айди))?|uid", r"\d{5,12}(?!\d)", exchange_ok, ("binance", "bybit", "okx", "kucoin", "huobi", "htx", "mexc", "gate", "bitget", "uid"), digits=True),
     keyword("tg_id", "<id>", r"(?:telegram|tg|тг|телеграм\w*|chat|user|чат|юзер)[ _-]?(?:id|айди|ид)", r"-?\d{6,13}(?!\d)", None, ("id", "айди", "ид"), digits=True),
     keyword("cvv", "<cvv>", r"cvv2?|cvc2?|цвв|свв|код безопасности|security code", r"\d{3,4}(?![\d.])", companion_ok, ("cvv", "cvc", "цвв", "свв", "безопасн", "security"), digits=True),
-    keyword("expiry", "<exp>", r"exp(?:iry|ires?|iration)?(?: date)?|valid (?:thru|till|until)|срок\w{0,2}(?: действия)?(?: карты)?|дата окончания|валидн\w (?:до|по)|действует до", r"(?:0[1-9]|1[0-2])[ ]?[/.\-][ ]?(?:20)?(?:1[3-9]|[2-4]\d)(?![\d./-])|(?:0[1-9]|1[0-2])(?:1[3-9]|[2-4]\d)(?![\d./-])", companion_ok, ("exp", "valid", "срок", "окончания", "валидн", "действует"), digits=True),
+    keyword("expiry", "<exp>", r"exp(?:iry|ires?|iration)?(?: date)?|valid (?:thru|till|until)|срок\w{0,2}(?: действия)?(?: карты)?|дата окончания|валидн\w (?:до|по)|действует до", r"(?:0[1-9]|1[0-2])[ ]?[/.\-][ ]?(?:20)?(?:1[3-9]|[2-4]\d)(?![\d./-])(?!\s{0,2}(?:дн|час|мин|раб|сут|day|hour|min))|(?:0[1-9]|1[0-2])(?:1[3-9]|[2-4]\d)(?![\d./-])", companion_ok, ("exp", "valid", "срок", "окончания", "валидн", "действует"), digits=True),
     keyword("cardholder", "<cardholder>", r"card ?holder(?: name)?|name on card|держател[ьяю]\w{0,2}(?: карты)?|владелец карты|имя на карте", r"(?:[A-ZА-ЯЁ][\w'-]{1,20}[ \t]){1,4}[A-ZА-ЯЁ][\w'.-]{1,20}", cardholder_ok, ("holder", "on card", "держател", "владелец карты", "имя на карте"), flags=0, render=None),
     shape("person", "<name>", rf"(?<![\w.])(?:[А-ЯЁ][а-яё]{{1,20}}{_SUR_END[:0]}[ \t][А-ЯЁ]\.[ ]?[А-ЯЁ]\.|[А-ЯЁ]\.[ ]?[А-ЯЁ]\.[ \t]?[А-ЯЁ][а-яё]{{2,20}})(?!\w)", None, (".",)),
     keyword("person", "<name>", r"меня зовут|my name is|фио|ф\.и\.о\.?|получатель|контактное лицо|с уважением,?|recipient|beneficiary|best regards,?|sincerely,?|from:|full name", rf"{_CAP}(?:[ \t]{_CAP}){{1,3}}", None, ("зовут", "name", "фио", "ф.и.о", "получатель", "лицо", "уважением", "recipient", "beneficiary", "regards", "sincerely", "from:"), flags=0),
@@ -442,12 +446,13 @@ FINANCE_RULES = [
     shape("kg_pin", "<personal-id>", r"(?<!\d)[12](?:0[1-9]|[12]\d|3[01])(?:0[1-9]|1[0-2])(?:19|20)\d{2}\d{5}(?!\d)", not_reference, digits=True),
     keyword("snils", "<snils>", r"снилс|snils", r"\d{3}[ -]?\d{3}[ -]?\d{3}[ -]?\d{2}", None, ("снилс", "snils"), digits=True),
     keyword("tax_id", "<tax-id>", r"инн|иин|бин|рнокпп|ипн|tax (?:id|number)|tin|vat(?: number)?|ssn|унп|personal (?:number|code)", r"\d[\d -]{6,20}\d", digit_count(8, 16), ("инн", "иин", "бин", "рнокпп", "ипн", "tax", "tin", "vat", "ssn", "унп", "personal"), digits=True),
-    keyword("passport", "<passport>", r"паспорт\w{0,3}(?: (?:серия|номер|№|рф))?|passport(?: (?:no\.?|number))?|уд\.? ?л(?:ичности|\.)|удостоверени\w личности|удв|id card", r"(?:[A-ZА-Я]{1,2}[ ]?)?\d{2}[ ]?\d{2}[ ,]?(?:№|номер)?[ ]?\d{5,6}(?!\d)|[A-ZА-Я]{1,3}[ №]{0,2}\d{6,9}(?!\d)|\d{8,9}(?!\d)", None, ("паспорт", "passport", "уд", "id card"), digits=True),
-    keyword("driver_licence", "<driver-licence>", r"водительск\w{2,3} (?:удостоверени\w|прав\w)|вод\.? ?уд\.?|в/у|driver'?s? licen[cs]e(?: number)?", r"\d{2}[ ]?(?:\d{2}|[А-ЯA-Z]{2})[ ]?\d{6}(?!\d)|[A-Z]{1,2}\d{6,8}(?!\d)", None, ("водительск", "вод", "в/у", "licen"), digits=True),
+    keyword("passport", "<passport>", r"паспорт\w{0,3}(?: (?:серия|номер|№|рф))?|passport(?: (?:no\.?|number))?|уд\.? ?л(?:ичности|\.)|удостоверени\w личности|удв|id card", r"(?:(?-i:[A-ZА-Я]{1,2})[ ]?)?\d{2}[ ]?\d{2}[ ,]?(?:№|номер)?[ ]?\d{5,6}(?!\d)|(?-i:[A-ZА-Я]{1,3})[ №]{0,2}\d{6,9}(?!\d)|\d{8,9}(?!\d)", None, ("паспорт", "passport", "уд", "id card"), digits=True),
+    shape("passport", "<passport>", r"(?<![^\W_])(?:passport|паспорт)\w{0,2}_(?P<val>\d{4}_?\d{6})(?!\d)", None, ("passport_", "паспорт"), I, digits=True),
+    keyword("driver_licence", "<driver-licence>", r"водительск\w{2,3} (?:удостоверени\w|прав\w)|вод\.? ?уд\.?|в/у|driver'?s? licen[cs]e(?: number)?", r"\d{2}[ ]?(?:\d{2}|(?-i:[А-ЯA-Z]{2}))[ ]?\d{6}(?!\d)|(?-i:[A-Z]{1,2})\d{6,8}(?!\d)", None, ("водительск", "вод", "в/у", "licen"), digits=True),
     keyword("dob", "<dob>", r"дата рожд\w{0,6}\.?|день рождения|д/р|др|родил\w{2,4}|date of birth|dob|birth ?(?:date|day)|born(?: on)?", _DATE_VALUE, None, ("рожд", "д/р", "др", "родил", "birth", "dob", "born"), digits=True),
     shape("dob", "<dob>", rf"(?<![\d.])(?P<val>{_DATE_VALUE}|(?:19|20)\d{{2}})(?=[ ]?(?:г\.?[ ]?р\.?|года рождения|year of birth))", None, ("г", "birth"), I, digits=True),
     keyword("address", "<address>", r"адрес (?:регистрации|проживания|доставки|прописки)|по адресу|мой адрес|прописк[аи]|прожива\w{2,3}|зарегистрирован\w{0,2} по адресу|(?:billing|shipping|home|delivery|postal|street) address", r"[^\n\ue000]{6,120}?(?=[.;]?(?:\n|$)|[.;] [A-ZА-Я])", address_ok, ("адрес", "пропис", "прожива", "address")),
-    shape("address", "<address>", r"(?<!\w)(?:(?:г\.|город)[ ]?[А-ЯЁ][а-яё-]{2,20},[ ]?)?(?:ул\.|улица|пр-т|просп\.|проспект|пер\.|переулок|бульвар|шоссе|наб\.|мкр\.?)[ ]?[А-ЯЁ0-9][А-Яа-яЁё0-9 -]{1,30},?[ ]{0,2}(?:д(?:ом)?\.?[ ]?)?\d{1,4}[а-яА-Я]?(?:[/-]\d{1,3})?(?:,?[ ]?(?:корп|к|стр)\.?[ ]?\d{1,3})?(?:,?[ ]?(?:кв|оф)\.?[ ]?\d{1,4})?", None, ("ул", "пр", "пер", "бульвар", "шоссе", "наб", "мкр"), digits=True),
+    shape("address", "<address>", r"(?<!\w)(?:(?:г\.|город)[ ]?[А-ЯЁ][а-яё-]{2,20},[ ]?)?(?:ул\.|улица|пр-т|просп\.|проспект|пер\.|переулок|бульвар|шоссе|наб\.|мкр\.?)[ ]?(?:\d{1,2}-[а-я]{1,2} )?[А-ЯЁ][А-Яа-яЁё0-9 -]{1,30},?[ ]{0,2}(?:д(?:ом)?\.?[ ]?)?\d{1,4}[а-яА-Я]?(?:[/-]\d{1,3})?(?:,?[ ]?(?:корп|к|стр)\.?[ ]?\d{1,3})?(?:,?[ ]?(?:кв|оф)\.?[ ]?\d{1,4})?", None, ("ул", "пр", "пер", "бульвар", "шоссе", "наб", "мкр"), digits=True),
     shape("address", "<address>", r"(?<![\w.,])\d{1,5}[A-Z]?[ ](?:[A-Z][a-z]{1,20}[ ]){1,3}(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Boulevard|Blvd|Drive|Dr|Court|Ct|Square|Sq|Way)\b\.?(?:,? (?:Apt|Flat|Suite|Unit)\.? ?\w{1,6})?", None, ("st", "av", "r", "l", "b", "c", "way"), digits=True),
     keyword("address", "<address>", r"адрес|address", r"[^\n\ue000]{8,100}?(?=[.;]?(?:\n|$))", lambda m: street_address_ok(m) and ":" in m.string[m.end("kw") : m.start("val")], ("адрес", "address")),
     keyword("postcode", "<postcode>", r"индекс\w{0,2}|почтовый индекс|post ?code|postal code|zip(?: code)?", r"\d{5,6}(?!\d)", None, ("индекс", "post", "zip"), digits=True),
@@ -461,7 +466,7 @@ _ALT_DOT = r"(?:[ ]?(?:\[dot\]|\(dot\)|\{dot\}|\[точка\])[ ]?|[ ](?:dot|т
 GENERIC_RULES = [
     shape("email_obfuscated", "<email>", rf"(?<![\w.+-])[\w.+-]{{2,64}} ?{_ALT_AT} ?[\w-]{{2,63}}{_ALT_DOT}(?:com|net|org|ru|kz|ua|by|io|me|co|info|biz)(?![\w])", None, ("at", "собака"), I),
     shape("email", "<email>", r"(?<![\w.+%-])[\w.+%-]{1,64}(?:@\n?|@ |[ ]@)[\w-]{1,63}(?:[.,][\w-]{2,63}){1,4}(?![\w])", lambda m: not re.search(r"@\d+x\.(?:png|jpe?g|webp|gif)$|@v?\d+\.\d", m[0], I), ("@",)),
-    shape("handle", "@user", r"(?<![A-Za-z0-9.+@])@(?P<val>[A-Za-z][A-Za-z0-9_]{2,31})(?![A-Za-z0-9_])", handle_ok, ("@",)),
+    shape("handle", "@user", r"(?<![A-Za-z0-9.+@])@(?P<val>[A-Za-z][A-Za-z0-9_]{2,31})(?![A-Za-z0-9_])(?:[а-яё]{1,3}(?!\w))?", handle_ok, ("@",)),
     shape("handle_spaced", "@user", r"(?<![\w@])@[ ](?P<val>[A-Za-z][A-Za-z0-9_]{3,31})(?![A-Za-z0-9_])", spaced_handle_ok, ("@ ",)),
     shape("patronymic", "<name>", rf"(?<!\w)(?:{_CAP}[ ])?[А-ЯЁ][а-яё]{{1,20}}[ ]{_PATR}(?![а-яё])", None, ("вич", "вна", "ич")),
     shape("patronymic", "<name>", r"(?<!\w)(?:[А-ЯЁ]{2,20}[ ])?[А-ЯЁ]{2,20}[ ][А-ЯЁ]{2,20}(?:ОВИЧ|ЕВИЧ|ОВНА|ЕВНА|ИЧНА)[АЕУЫ]?(?![А-ЯЁ])", None, ("вич", "вна")),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,9 +95,9 @@ def display_name(first: str | None, last: str | None, mode: str, usernames: froz
 def title_terms(titles: DataFrame, title: str = "title") -> DataFrame:
     """Rows (term, n, titles): in how many distinct-by-row titles each significant word stands."""
 
-    @F.udf("array<string>")
-    def tokens(text: str | None) -> list[str]:
-        return title_tokens(text or "")
+    @F.pandas_udf("array<string>")
+    def tokens(part: pd.Series) -> pd.Series:
+        return part.map(lambda t: title_tokens(t or ""))
 
     per = titles.select(F.explode(F.array_distinct(tokens(F.col(title)))).alias("term"))
     total = titles.agg(F.count(F.lit(1)).alias("titles"))

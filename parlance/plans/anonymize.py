@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -172,11 +173,11 @@ def anonymize(raw: Raw, policy: Policy, mapping: DataFrame, persist: Callable[[D
     scrubber_policy, surnames = a, frozenset(fold(p) for p in roster.persons)
     handles = frozenset(roster.usernames)
 
-    @F.udf("string")
-    def shown(first: str | None, last: str | None, deleted: bool) -> str:
-        if deleted:
-            return "Deleted"
-        return identity.display_name(first, last, scrubber_policy.name_mode, handles, surnames, Scrubber(scrubber_policy, Roster(usernames=roster.usernames)))
+    @F.pandas_udf("string")
+    def shown(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        own = Scrubber(scrubber_policy, Roster(usernames=roster.usernames))
+        for first, last, deleted in parts:
+            yield pd.Series(["Deleted" if gone else identity.display_name(f, x, scrubber_policy.name_mode, handles, surnames, own) for f, x, gone in zip(first, last, deleted, strict=True)])
 
     users = people.join(grown.where("kind = 'U'").select(F.col("raw_id").alias("id"), "vid"), "id").select("vid", shown("first_name", "last_name", F.col("role") == "deleted").alias("name"), "role", "side")
     heads = exported.join(logical.groupBy(F.col("primary_id").alias("id")).agg(F.count(F.lit(1)).alias("peers")), "id").select(F.col("id").alias("logical"), "title", "kind", "is_forum", "participant_count")

@@ -53,10 +53,18 @@ REMOVED = [
     ("PHPSESSID=abcdef123456", "PHPSESSID=<cookie>"),
     ("Mozilla/5.0 (X11; Linux) Gecko/2010 Firefox/1.0 ошибка", "<user-agent> ошибка"),
     ("Анна Сергеевна", "<name>"),
+    ("пароль: старый Zx" + "81kk", "пароль: старый <password>"),
+    ("my password is Zebra" + "77", "my password is <password>"),
+    ("scan passport_4511_654321_b.png", "scan passport_<passport>_b.png"),
+    ("пишите @lena_k1у", "пишите @user"),
+    ("держатель карты Олег Комаров", "держатель карты <cardholder>"),
+    ("sort code 20-11-47", "sort code <bank-code>"),
+    ("redis://worker:Pa55" + "word@cache.example.net", "<url>"),
+    ("2001:db8:0:0:1:0:0:1", "<ip>"),
 ]
 KEPT = [
     "password expired", "код ответа 4001", "заказ №3184713454", "sum 1500.00 2300.50", "postgres:16-alpine", "Yandex.Money README.md", "ssh -p 2222", "server 127.0.0.1", "версия приложения 2.15.3.100", "Released under the MIT License.",
-    "ошибка PASSWORD_EXPIRED", "PAYMENT_DECLINED_INSUFFICIENT_FUNDS_ERROR_4001", "срок до 12.03.2026", "Northwind", "пинг 1500 мс", "at 10:00:00:123", "arr@2x.png", "decline 05", "другая дата 12.03.2026", "<phone> cvv <cvv>", "424242**********",
+    "ошибка PASSWORD_EXPIRED", "PAYMENT_DECLINED_INSUFFICIENT_FUNDS_ERROR_4001", "срок до 12.03.2026", "Northwind", "пинг 1500 мс", "at 10:00:00:123", "arr@2x.png", "decline 05", 'пароль: "не указан"', '{"password": "не короче 10 знаков"}', "пароль: неправильный", '{"password": null}', "/api/v3/shops/55555/orders/2025-01-02", "пер. 900 руб", "срок 10-12 дней", "паспорт на 7654321", "mkdir -p /tmp/x", "доступ: scope:reader", "код 4011 означает отказ", "другая дата 12.03.2026", "<phone> cvv <cvv>", "424242**********",
 ]
 
 
