@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,6 +75,26 @@ def sequence(messages: DataFrame, chat: str = "chat", forum: Column | None = Non
     return messages.withColumn("seq", F.row_number().over(Window.partitionBy(chat).orderBy(topic, "date", "chat_id", "id")))
 
 
+def sequence_skewed(messages: DataFrame, persist: Callable[[DataFrame, str], DataFrame], chat: str = "chat", forum: Column | None = None, partitions: int | None = None) -> DataFrame:
+    """`sequence` for chats that may hold much of all rows: a chat is dealt over ranges of its order.
+
+    Rows are numbered within a range, and a range starts from the number of
+    its chat's rows in the ranges before it. `persist` writes a table and
+    returns it read back, so that the bounds of the ranges stay.
+    """
+    topic = F.when(forum, F.coalesce("topic_id", F.lit(0))).otherwise(F.lit(0)) if forum is not None else F.lit(0)
+    keys = [chat, "__topic", "date", "chat_id", "id"]
+    n = partitions or int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = messages.withColumn("__topic", topic).repartitionByRange(n, *keys).withColumn("__range", F.spark_partition_id())
+    placed = persist(placed, "ranges")
+    counts = placed.groupBy(chat, "__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(chat).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col(chat).alias("__chat"), F.col("__range").alias("__r"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    own = F.row_number().over(Window.partitionBy("__range", chat).orderBy("__topic", "date", "chat_id", "id"))
+    joined = placed.withColumn("__own", own).join(starts, (F.col(chat) == F.col("__chat")) & (F.col("__range") == F.col("__r")))
+    return joined.withColumn("seq", F.col("__start") + F.col("__own")).drop("__topic", "__range", "__n", "__chat", "__r", "__start", "__own")
+
+
 def relink_replies(messages: DataFrame) -> DataFrame:
     """`reply_to`: seq of the message replied to, if it is kept and comes earlier."""
     target = messages.select(F.col("chat_id").alias("t_chat"), F.col("id").alias("t_id"), F.col("seq").alias("t_seq"))

@@ -80,6 +80,19 @@ def test_episode_gap_is_strict(spark):
     assert [r["episode"] for r in messages.episodes(rows, ["c"], ["ts", "i"], "ts").orderBy("i").collect()] == [1, 1, 2]
 
 
+def test_hot_chat_is_numbered_over_ranges(spark, tmp_path):
+    rows = spark.range(900).select(F.when(F.col("id") % 10 < 7, 1).otherwise(F.col("id") % 5).alias("chat"), F.lit(1).alias("chat_id"), (F.col("id") * 37 % 900).alias("id"), (F.col("id") * 37 % 50).alias("date"), (F.col("id") % 3).alias("topic_id"))
+
+    def persist(df, name):
+        df.write.mode("overwrite").parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    for forum in (None, F.col("chat") == 1):
+        want = messages.sequence(rows, forum=forum).select("chat", "id", F.col("seq").cast("long")).collect()
+        got = messages.sequence_skewed(rows, persist, forum=forum, partitions=7).select("chat", "id", "seq").collect()
+        assert sorted(got) == sorted(want)
+
+
 def test_parts_and_chunks(spark):
     lines = spark.createDataFrame([("C1", e, e * 100 + i, "x" * 2000) for e in range(1, 4) for i in range(4)], "chat string, episode int, seq int, line string")
     parts = render.render_parts(lines, 5)
