@@ -28,7 +28,12 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _SKIP = frozenset("head nav footer aside form menu dialog button select svg math object audio video canvas fieldset label".split())
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 _INLINE_OVER_P = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd mark q s samp small span strike strong sub sup tt u var".split())
-_HINTS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent footer header masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted promotion related share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget disqus respond replies".split())
+_HINTS = frozenset(
+    "ad ads adbox adslot adunit adsbygoogle advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent copyright disclaimer discussion disqus footer gdpr header legal masthead menu modal nav "
+    "navbar navigation newsletter notice notices pager pagination popup promo promoted promotion recommended recommendations related replies respond share sharing sidebar sidemenu sidenav social sponsor sponsored subscribe subscription toolbar topbar widget".split()
+)
+#: Words that turn a hint into a statement about the page's layout.
+_LAYOUT = frozenset("with has no without".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 
 
@@ -41,8 +46,11 @@ def _unwanted(tag: str, attrs: str, in_article: bool) -> bool:
         return False
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), a or b or c
-        if name in ("class", "id") and any(w.lower() in _HINTS for w in _SPLIT.split(value)):
-            return True
+        if name in ("class", "id"):
+            for one in value.split():
+                words = [w.lower() for w in _SPLIT.split(one) if w]
+                if not _LAYOUT.intersection(words) and ("".join(words) in _HINTS or any(w in _HINTS for w in words)):
+                    return True
         if name == "role" and value.lower() in _ROLES or name == "aria-hidden" and value.lower() == "true":
             return True
     bare = re.sub(r"\"[^\"]*\"|'[^']*'", "", attrs)

@@ -142,6 +142,7 @@ def test_html_structure():
     assert html_text.parse_blocks("plain &lt;text&gt;") == (["plain <text>"], [False])
     assert html_text.parse_blocks("<p>a<div>b</div>c")[0] == ["a", "b", "c"]
     assert html_text.parse_blocks("<div hidden>x</div><p style='display: none'>y</p><p>z</p>")[0] == ["z"]
+    assert html_text.parse_blocks("<div class='side-bar'>x</div><div class='layout with-sidebar'><p>y</div><ul id='readerComments'><li>z</ul>")[0] == ["y"]
     assert html_text.parse_blocks("<p>unclosed <b>bold <nav>menu")[0] == ["unclosed bold"]
 
 
