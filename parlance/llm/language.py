@@ -61,7 +61,8 @@ def identify(rows: DataFrame, model: Bayes, carry: list[str], text_col: str = "t
     divided by the language's overall share. A host's prior is its own sums
     smoothed by its site's, smoothed by all rows', the row itself left out.
     Null evidence says nothing; a row without words is decided by the rest;
-    without any, the commonest language wins. Ties go to the language first in
+    without any, the commonest language wins; a model that was fitted on no
+    labelled row names none (null). Ties go to the language first in
     the alphabet. Repeated rows repeat; an empty table gives no rows.
     """
     k, classes = len(model.classes), model.classes
@@ -98,7 +99,7 @@ def identify(rows: DataFrame, model: Bayes, carry: list[str], text_col: str = "t
         evidence = [smoothed(c, i, base, EVIDENCE_WEIGHT) / base for c in (declared_col, suffix_col)]
         logs.append(F.col("like")[i] + F.log(F.greatest(prior, F.lit(1e-6))) + sum((F.log(F.greatest(e, F.lit(1e-6))) for e in evidence), F.lit(0.0)))
     out = out.withColumn("post", F.array(*logs)).withColumn("top", F.array_max("post"))
-    langs = F.array(*(F.lit(None if c is None else str(c)) for c in classes))
+    langs = F.array(*(F.lit(None if c is None else str(c)).cast("string") for c in classes))
     weight = F.aggregate(F.transform("post", lambda x: F.exp(x - F.col("top"))), F.lit(0.0), lambda a, x: a + x)
     pick = lambda column: F.element_at(langs, F.array_position(column, F.array_max(column)).cast("int"))
     return out.select(*carry, pick(F.col("post")).alias("lang"), (1 / weight).alias("prob"), pick(F.col("p")).alias("text_lang"), F.array_max("p").alias("text_prob"), F.col(declared_col).alias("declared"), F.col(suffix_col).alias("suffix"), F.col(host_col).alias("host"))

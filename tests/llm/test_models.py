@@ -139,6 +139,14 @@ def test_language_fusion(spark):
     assert language.identify(language.page_rows(empty), model, ["id"]).count() == 0
 
 
+def test_language_edges(spark, odd_docs, no_docs):
+    rows = odd_docs.select("doc_id", "text", F.lit(None).cast("string").alias("declared"), F.lit(None).cast("string").alias("suffix"), F.col("source").alias("host"), F.col("source").alias("site"))
+    got = language.identify(rows, language.fit(odd_docs), ["doc_id"]).collect()
+    assert len(got) == odd_docs.count() and {r["lang"] for r in got} == {"en"}
+    none = language.identify(rows, language.fit(no_docs), ["doc_id"]).collect()
+    assert len(none) == odd_docs.count() and {r["lang"] for r in none} == {None}
+
+
 def test_mixing_meets_targets(spark):
     docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
     domain = labels.select("doc_id", F.when(F.col("quality") == 1, "good").otherwise("poor").alias("domain"))
