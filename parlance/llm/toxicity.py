@@ -22,6 +22,8 @@ from .text import ALNUM, Words, blocks, map_blocks, mix, segment_sums, words
 #: Bound of the training sample: documents a label, and characters a document.
 SAMPLE_DOCS = 2000
 SAMPLE_CHARS = 20_000
+#: Bytes of text worked on at a time on the driver.
+FIT_BYTES = 1 << 19
 TABLE_BITS = 18
 THRESHOLD = 0.7
 #: Byte lengths of the word beginnings and endings that are features.
@@ -31,15 +33,21 @@ _STOP = np.zeros(256, dtype=bool)
 _STOP[[0x0A, 0x21, 0x2E, 0x3F]] = True
 
 
-def feature_keys(found: Words) -> np.ndarray:
+def feature_keys(found: Words, only: int | None = None) -> np.ndarray:
     """Keys of every token's features, one row a kind: word, beginnings, endings. 0 where a word is too short."""
     size = found.end - found.start
-    kinds = [found.keys()]
-    for k in HEADS:
-        kinds.append(np.where(size >= k, found.keys(found.start, np.minimum(found.start + k, found.end)), 0))
-    for k in TAILS:
-        kinds.append(np.where(size >= k, found.keys(np.maximum(found.end - k, found.start), found.end), 0))
-    return np.stack([np.where(x == 0, 0, mix(x ^ np.uint64((i + 1) * 0x632BE59BD9B4E019 % (1 << 64)))) for i, x in enumerate(kinds)])
+    out = []
+    for kind in range(1 + len(HEADS) + len(TAILS)) if only is None else (only,):
+        if kind == 0:
+            x = found.keys()
+        elif kind <= len(HEADS):
+            k = HEADS[kind - 1]
+            x = np.where(size >= k, found.keys(found.start, np.minimum(found.start + k, found.end)), 0)
+        else:
+            k = TAILS[kind - 1 - len(HEADS)]
+            x = np.where(size >= k, found.keys(np.maximum(found.end - k, found.start), found.end), 0)
+        out.append(np.where(x == 0, 0, mix(x ^ np.uint64((kind + 1) * 0x632BE59BD9B4E019 % (1 << 64)))))
+    return np.stack(out)
 
 
 def slots(keys: np.ndarray) -> np.ndarray:
@@ -132,25 +140,26 @@ def _totals(p: np.ndarray, found: Words) -> np.ndarray:
     return np.stack([np.ones(found.rows), np.log1p(total), np.log1p(some), top], axis=1)
 
 
-def _cues(parts: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Features that cover the documents of label 1 and hardly occur in others, by greedy cover.
-
-    parts: (document, key) for each feature of a document, once.
-    """
+def _candidates(doc: np.ndarray, key: np.ndarray, label: np.ndarray, weight: np.ndarray) -> list[tuple[np.uint64, np.ndarray]]:
+    """Features that occur in three documents of label 1 or more, nine times as often as in others, with their documents."""
+    pos, neg = max(1, int((weight * label).sum())), max(1, int((weight * (1 - label)).sum()))
+    use = weight[doc] > 0
+    doc, key = doc[use], key[use]
+    if not len(key):
+        return []
+    order = np.argsort(key, kind="stable")
+    doc, key = doc[order], key[order]
+    head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    size = np.diff(np.append(head, len(key)))
+    p = np.add.reduceat(label[doc].astype(np.int64), head)
+    n = size - p
+    good = (p >= 3) & (p / pos >= 9 * (n + 0.5) / neg * (n > 0))
+    return [(key[head[i]], doc[head[i] : head[i] + size[i]].copy()) for i in np.flatnonzero(good)]
+
+
+def _cues(found: list[tuple[np.uint64, np.ndarray]], label: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Candidates that cover the documents of label 1, by greedy cover; each covers few of the others."""
     pos, neg = max(1, int((weight * label).sum())), max(1, int((weight * (1 - label)).sum()))
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    for doc, key in parts:
-        use = weight[doc] > 0
-        doc, key = doc[use], key[use]
-        order = np.argsort(key, kind="stable")
-        doc, key = doc[order], key[order]
-        head = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, dtype=np.int64)
-        size = np.diff(np.append(head, len(key)))
-        p = np.add.reduceat(label[doc].astype(np.int64), head) if len(key) else size
-        n = size - p
-        good = (p >= 3) & (p / pos >= 9 * (n + 0.5) / neg * (n > 0))
-        for i in np.flatnonzero(good):
-            found.append((key[head[i] : head[i] + 1], doc[head[i] : head[i] + size[i]]))
     chosen: list[np.uint64] = []
     open_ = label.astype(bool) & (weight > 0)
     rate = pos / neg
@@ -160,12 +169,34 @@ def _cues(parts: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, weight:
         if gains[best] < max(3, 0.002 * pos):
             break
         key, docs = found.pop(best)
-        chosen.append(key[0])
+        chosen.append(key)
         open_[docs] = False
-        found = [(k, d) for (k, d), g in zip(found, [*gains[:best], *gains[best + 1 :]], strict=True) if g >= 3]
+        found = [x for x, g in zip(found, [*gains[:best], *gains[best + 1 :]], strict=True) if g >= 3]
     return np.sort(np.array(chosen, dtype=np.uint64))
 
 
+def _occurrences(text: pa.Array, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, key) of a kind of feature, each once; then those that two different words or more go on from."""
+    parts: list[list[np.ndarray]] = [[], [], [], []]
+    for a, b in blocks(text, FIT_BYTES):
+        found = words(text.slice(a, b - a), ALNUM)
+        if not len(found.start):
+            continue
+        key, doc = feature_keys(found, kind)[0], found.row
+        word = np.where(found.end - found.start > (HEADS[kind - 1] if kind else 0), found.keys(), 0)
+        order = np.lexsort((word, key, doc))
+        doc, key, word = doc[order], key[order], word[order]
+        head = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))
+        fresh = (head | np.append(True, word[1:] != word[:-1])) & (word != 0)
+        at = np.flatnonzero(head)
+        twice = at[np.add.reduceat(fresh.astype(np.int64), at) >= 2]
+        for i, spots in enumerate((at, twice)):
+            spots = spots[key[spots] != 0]
+            parts[2 * i].append(doc[spots] + a)
+            parts[2 * i + 1].append(key[spots])
+    return tuple(np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in parts)
+
+
 def _member(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     if not len(table):
         return np.zeros(keys.shape, dtype=bool)
@@ -185,30 +216,17 @@ def train(sample: pa.Table, prior: float = 0.5, rounds: int = 60, seed: int = 5)
         key = hash((t, int(label[i])))
         weight[i] = key not in seen
         seen.add(key)
-    # what occurs in a document, by kind; after that, the beginnings that two of its words or more go on from
-    parts: list[list] = [[] for _ in range(1 + 2 * len(HEADS))]
-    for a, b in blocks(text):
-        found = words(text.slice(a, b - a), ALNUM)
-        keys = feature_keys(found)
-        for kind in range(1 + len(HEADS)):
-            key, doc, word = keys[kind], found.row, keys[0]
-            if kind:
-                word = np.where(found.end - found.start > HEADS[kind - 1], word, 0)
-            order = np.lexsort((word, key, doc))
-            doc, key, word = doc[order], key[order], word[order]
-            head = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])) if len(key) else np.zeros(0, dtype=bool)
-            parts[kind].append((doc[head & (key != 0)] + a, key[head & (key != 0)]))
-            if kind:
-                fresh = (head | np.append(True, word[1:] != word[:-1])) & (word != 0) if len(key) else head
-                at = np.flatnonzero(head)
-                twice = np.add.reduceat(fresh.astype(np.int64), at) >= 2 if len(at) else np.zeros(0, dtype=bool)
-                at = at[twice & (key[at] != 0)] if len(at) else at
-                parts[kind + len(HEADS)].append((doc[at] + a, key[at]))
-    cues = _cues([tuple(np.concatenate(x) for x in zip(*p, strict=True)) for p in parts], label, weight)
+    found: list[tuple[np.uint64, np.ndarray]] = []
+    for kind in range(1 + len(HEADS)):
+        doc, key, doc_twice, key_twice = _occurrences(text, kind)
+        found += _candidates(doc, key, label, weight)
+        if kind:
+            found += _candidates(doc_twice, key_twice, label, weight)
+    cues = _cues(found, label, weight)
 
     rng = np.random.default_rng(seed)
     taken: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for a, b in blocks(text):
+    for a, b in blocks(text, FIT_BYTES):
         found = words(text.slice(a, b - a), ALNUM)
         keys, first = feature_keys(found), chains(found)
         if len(first) < 2:
@@ -221,7 +239,7 @@ def train(sample: pa.Table, prior: float = 0.5, rounds: int = 60, seed: int = 5)
         # a sentence of a toxic document without a cue says nothing; of a clean one, one in eight is enough
         use = some | (~own[first[:-1]] & (rng.random(len(size)) < 0.125))
         at = np.flatnonzero(np.repeat(use, size))
-        taken.append((slots(keys[:, at]), tag[at], size[use]))
+        taken.append((slots(keys[:, at]).astype(np.int32), tag[at], size[use]))
     place = np.concatenate([t[0] for t in taken], axis=1)
     tag = np.concatenate([t[1] for t in taken]).astype(float)
     first = np.append(0, np.cumsum(np.concatenate([t[2] for t in taken])))
@@ -247,7 +265,7 @@ def train(sample: pa.Table, prior: float = 0.5, rounds: int = 60, seed: int = 5)
     model.weights, model.bias, model.trans = w.astype(np.float32), float(bias), trans
 
     rows = []
-    for a, b in blocks(text):
+    for a, b in blocks(text, FIT_BYTES):
         found = words(text.slice(a, b - a), ALNUM)
         rows.append(_totals(model.tag(found), found))
     x = np.concatenate(rows)
