@@ -41,6 +41,8 @@ CLASSES, TRIPLES = 32, 48
 ALIKE = 14
 #: Standard errors by which a sketch estimate may fall short of the threshold.
 SLACK = 4.5
+#: Copies of what is joined to the members of a component.
+SALTS = 16
 #: Documents of one side of a block.
 BLOCK = 256
 
@@ -253,8 +255,11 @@ def _last_round(keyed: DataFrame, sets: DataFrame, label: DataFrame, percent: in
     outside = rest.where("main is not null").select("id", "comp", "main").distinct()
     plan = outside.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("js")).join(at.groupBy(F.col("comp").alias("main")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("is_")), "main")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    whole = at.join(plan, at["comp"] == plan["main"]).select("id", "comp", "main", F.pmod(F.xxhash64("id", F.lit(7)), "is_").alias("i"), spread("js").alias("j")).withColumn("side", F.lit(0))
-    met = outside.join(plan, "main").select("id", "comp", "main", spread("is_").alias("i"), F.pmod(F.xxhash64("id", F.lit(7)), "js").alias("j")).withColumn("side", F.lit(1))
+    # a component may hold much of the documents: its rows meet one of several copies of its plan
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt")
+    plan = plan.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    whole = at.select("id", F.col("comp"), F.col("comp").alias("main"), salt).join(plan, ["main", "salt"]).select("id", "comp", "main", F.pmod(F.xxhash64("id", F.lit(7)), "is_").alias("i"), spread("js").alias("j")).withColumn("side", F.lit(0))
+    met = outside.select("id", "comp", "main", salt).join(plan, ["main", "salt"]).select("id", "comp", "main", spread("is_").alias("i"), F.pmod(F.xxhash64("id", F.lit(7)), "js").alias("j")).withColumn("side", F.lit(1))
     across = _linked(whole.unionByName(met), sets, ["main", "i", "j"], percent)
 
     size = F.ceil((F.col("all") - F.col("mains")) / BLOCK).cast("int")
