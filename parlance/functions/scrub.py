@@ -295,7 +295,8 @@ def scrub_column(text: Column, policy: Anonymize | None = None, roster: Roster |
         for part, marks in parts:
             yield pd.DataFrame([one(own, t, m) for t, m in zip(part, marks, strict=True)], columns=["text", "hits"])
 
-    return run(text) if entities is None else run_marked(text, entities)
+    # not deterministic for the optimizer: a filter it infers would otherwise run the function a second time
+    return run.asNondeterministic()(text) if entities is None else run_marked.asNondeterministic()(text, entities)
 
 
 def scan_column(text: Column, policy: Anonymize | None = None, roster: Roster | None = None) -> Column:
@@ -307,7 +308,7 @@ def scan_column(text: Column, policy: Anonymize | None = None, roster: Roster |
         for part in parts:
             yield pd.Series([[{"kind": k, "match": s} for k, s in own.scan(t)] for t in part])
 
-    return run(text)
+    return run.asNondeterministic()(text)
 
 
 def rule_counts(hits: DataFrame, column: str = "hits") -> DataFrame:

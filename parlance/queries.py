@@ -16,6 +16,7 @@ from .functions import checksums, links
 from .functions.scrub import rule_counts, scan_column, scrub_column
 from .functions.vocabulary import GENERIC, Roster
 from .operators import audit, chats, identity, messages, render
+from .plans.parallel import spread
 from .plans.policy import Anonymize, ChatFilter, Output
 from .sources import store
 
@@ -435,21 +436,25 @@ for _name, _pattern in SHAPES.items():
 # ---- scrub and audit -------------------------------------------------------
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query()
 def scrub_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _read(spark, sf_dir, "documents")
+    d = _texts(spark, sf_dir)
     return d.select("doc_id", scrub_column(F.col("text")).alias("s")).select("doc_id", F.col("s.text").alias("text"), F.size("s.hits").alias("n_hits"))
 
 
 @query()
 def scrub_hits_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rule_counts(_read(spark, sf_dir, "documents").select(scrub_column(F.col("text")).alias("s")), "s.hits")
+    return rule_counts(_texts(spark, sf_dir).select(scrub_column(F.col("text")).alias("s")), "s.hits")
 
 
 @query()
 def leak_scan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaks by kind before and after scrubbing; after it there are none."""
-    d = _read(spark, sf_dir, "documents")
+    d = _texts(spark, sf_dir)
     raw = d.select(F.lit("raw").alias("state"), scan_column(F.col("text")).alias("leaks"))
     clean = d.select(scrub_column(F.col("text")).alias("s")).select(F.lit("scrubbed").alias("state"), scan_column(F.col("s.text")).alias("leaks"))
     return raw.unionByName(clean).groupBy("state").agg(F.sum(F.size("leaks")).alias("leaks"))
@@ -459,7 +464,7 @@ def leak_scan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scrub_with_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     policy = Anonymize(custom_patterns=(r"licensed under[^.\n]{1,60}",), keep_terms=("MIT",))
     roster = Roster(usernames={"worthless_": "U10001"}, organisations=("Released",), keep=("MIT",))
-    d = _read(spark, sf_dir, "documents")
+    d = _texts(spark, sf_dir)
     return d.select("doc_id", scrub_column(F.col("text"), policy, roster).alias("s")).select("doc_id", F.col("s.text").alias("text"))
 
 
