@@ -169,3 +169,15 @@ def test_mixing_edges(spark, odd_docs, no_docs):
     assert mixing.mix(no_docs, model, {"a": 1}).count() == 0
     alone = mixing.fit(odd_docs, domain.limit(0))
     assert mixing.mix(odd_docs, alone, {}).count() == odd_docs.count()
+
+
+def test_lm_learns_rare_contexts(spark):
+    """A phrase far below any fixed share of a corpus is predicted by its contexts."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"v{rng.randrange(5000)}" for _ in range(200))) for i in range(1500)]
+    phrase = " ".join(f"rare{j}" for j in range(12))
+    held = next(i for i in range(2000, 9999) if zlib.crc32(str(i).encode()) % 10 == 0)
+    train = [i for i in range(10_000, 10_100) if zlib.crc32(str(i).encode()) % 10][:4]
+    rows += [(i, phrase) for i in (*train, held)]
+    got = {r["doc_id"]: r for r in lm_score.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held]["held_out"] and got[held]["score"] > got[held]["base_score"] + 12
