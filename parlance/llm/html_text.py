@@ -3,8 +3,9 @@
 A page's blocks are read from its markup, without elements that never hold the
 article. Pages are sorted by host and path, each is paired with the neighbour
 that shares the longer path, and the longest common subsequence of the two
-pages' lines is what the site repeats. Lines of an article or main element
-stay; where a page marks neither, shared lines are deleted.
+pages' lines is what the site repeats. Shared lines are deleted where a page
+marks no article or main element. A marked page has the lines of its element;
+of these, those that several neighbours repeat that are not copies are deleted.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ _HINTS = frozenset(
     "ad ads adbox adslot adunit adsbygoogle advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent copyright disclaimer discussion disqus footer gdpr header legal masthead menu modal nav "
     "navbar navigation newsletter notice notices pager pagination popup promo promoted promotion recommended recommendations related replies respond share sharing sidebar sidemenu sidenav social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+#: Pages on each side of a marked page that are looked at, and how many must repeat a line of its article.
+AROUND, REPEATS = 2, 2
 #: Words that turn a hint into a statement about the page's layout.
 _LAYOUT = frozenset("with has no without".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -171,7 +174,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     text joins the kept lines by a line feed; n_shared counts lines that the
     nearest page of the same host repeats, and paired_with is that page's id
     (null if the host has no other page in the range of sorted addresses that
-    a task sees; pages with an article or main element don't depend on it).
+    a task sees).
     Null html gives an empty text; a null url has an empty host and path;
     repeated rows repeat, and pair with each other; an empty table gives no
     rows; other columns are not read.
@@ -193,12 +196,24 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     owners = partitions or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = parsed.withColumn("host", host).withColumn("path", path).repartitionByRange(owners, "host", "path", "id").sortWithinPartitions("host", "path", "id")
 
-    def settle(row: dict, before: dict | None, after: dict | None) -> tuple:
-        near = [x for x in (before, after) if x is not None and x["host"] == row["host"]]
+    def settle(row: dict, before: list[dict], after: list[dict]) -> tuple:
+        """`before` and `after` are the pages next to `row` in the order of addresses, nearest first."""
+        around = [x for x in (*before, *after) if x["host"] == row["host"]]
+        near = [x for x in (*before[:1], *after[:1]) if x["host"] == row["host"]]
         near.sort(key=lambda x: -_shared_prefix(x["path"], row["path"]))
         shared = common_lines(row["lines"], near[0]["lines"]) if near else [False] * len(row["lines"])
-        marked = any(row["inside"])
-        kept = [line for line, art, both in zip(row["lines"], row["inside"], shared, strict=True) if (art if marked else not both)]
+        kept = [line for line, both in zip(row["lines"], shared, strict=True) if not both]
+        if any(row["inside"]):
+            spots = [i for i, art in enumerate(row["inside"]) if art]
+            own = [row["lines"][i] for i in spots]
+            size = sum(map(len, own))
+            times = [0] * len(own)
+            for other in around:
+                both = common_lines(own, other["lines"])
+                # a page that repeats half of the article or more holds a copy of it
+                if 2 * sum(len(line) for line, x in zip(own, both, strict=True) if x) < size:
+                    times = [n + x for n, x in zip(times, both, strict=True)]
+            kept = [line for line, n in zip(own, times, strict=True) if n < REPEATS]
         return row["id"], row["url"], "\n".join(kept), sum(shared), near[0]["id"] if near else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,17 +230,26 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         id_type = pa.int64() if kinds[id_col] in ("bigint", "long") else pa.int32() if kinds[id_col] == "int" else pa.string()
         done: list[tuple] = []
         size = 0
-        before = now = None
-        for after in rows():
-            if now is not None:
-                done.append(settle(now, before, after))
+        # pages before the one to settle, it and those after
+        window: list[dict] = []
+        at = 0
+
+        def settled(i: int) -> tuple:
+            return settle(window[i], window[max(0, i - AROUND) : i][::-1], window[i + 1 : i + 1 + AROUND])
+
+        for row in rows():
+            window.append(row)
+            if len(window) - at > AROUND:
+                done.append(settled(at))
                 size += len(done[-1][2])
-            before, now = now, after
+                at += 1
+                if at > AROUND:
+                    del window[0]
+                    at -= 1
             if size > 1 << 21:
                 yield pack(done)
                 done, size = [], 0
-        if now is not None:
-            done.append(settle(now, before, None))
+        done += [settled(i) for i in range(at, len(window))]
         if done:
             yield pack(done)
 

@@ -172,6 +172,15 @@ def test_html_differencing(spark, no_docs):
     assert html_text.extract_main_text(empty).count() == 0
 
 
+def test_html_differencing_in_articles(spark):
+    """Boilerplate inside articles goes, copied articles stay."""
+    page = lambda *lines: "<article>" + "".join(f"<p>{x}</p>" for x in lines) + "</article>"
+    rows = [(i, f"http://a.com/x/{i}", page(f"Story number {i} is long enough", "All rights reserved")) for i in range(5)]
+    rows += [(i, f"http://b.com/x/{i}", page("The same article on each page", "and its second line")) for i in range(5, 10)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), partitions=1).collect()}
+    assert got == {i: f"Story number {i} is long enough" for i in range(5)} | dict.fromkeys(range(5, 10), "The same article on each page\nand its second line")
+
+
 def _split(tokens, width, size):
     data = np.array(tokens, dtype=f"<u{width}").tobytes()
     return [data[i : i + size] for i in range(0, len(data), size)]
