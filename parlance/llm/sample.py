@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,14 +18,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_char
     Ids are taken in the order of a hash, so the sample does not depend on how
     the tables are laid out; repeated labels of an id collapse to the largest,
     rows without id or label are left out, and so are texts of more than
-    `max_chars` characters, which bounds what comes to the driver.
+    `max_chars` characters, which bounds what a class brings to the driver.
     """
     spark = docs.sparkSession
     own = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
-    classes = [r[0] for r in own.select("label").distinct().limit(64).collect()]
-    ids: list = []
-    for c in sorted(classes):
-        ids += own.where(F.col("label") == c).orderBy(F.xxhash64(F.col("doc_id"), F.lit(11)), "doc_id").limit(per_class).collect()
+    nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(F.col("doc_id"), F.lit(11)), "doc_id"))
+    ids = own.withColumn("nth", nth).where(F.col("nth") <= per_class).select("doc_id", "label").collect()
     if not ids:
         return pa.table({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.string()), "label": pa.array([], own.schema["label"].dataType == "string" and pa.string() or pa.int64())})
     chosen = F.broadcast(spark.createDataFrame(ids, own.schema))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parlance.llm import language, lm_score, mixing, toxicity
+from parlance.llm import language, lm_score, mixing, sample, toxicity
 from parlance.llm.queries import QUERIES
 
 from .conftest import SPACE, lower, prose
@@ -181,3 +181,10 @@ def test_lm_learns_rare_contexts(spark):
     rows += [(i, phrase) for i in (*train, held)]
     got = {r["doc_id"]: r for r in lm_score.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[held]["held_out"] and got[held]["score"] > got[held]["base_score"] + 12
+
+
+def test_sample_has_every_class(spark):
+    rows = [(i, f"text {i}", f"l{i % 90:02d}") for i in range(450)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    got = Counter(sample.labelled_sample(docs, docs, 3, 100).column("label").to_pylist())
+    assert got == {f"l{i:02d}": 3 for i in range(90)}
