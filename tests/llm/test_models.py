@@ -188,3 +188,19 @@ def test_sample_has_every_class(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
     got = Counter(sample.labelled_sample(docs, docs, 3, 100).column("label").to_pylist())
     assert got == {f"l{i:02d}": 3 for i in range(90)}
+
+
+def test_mixing_goes_on_to_targets(spark, monkeypatch):
+    """Posteriors that overlap and targets far from the natural shares take many plain steps."""
+    rng = np.random.default_rng(3)
+    lang = rng.dirichlet([0.3] * 4, 3000)
+    poor = 1 / (1 + np.exp(-rng.normal(0.0, 2.0, 3000)))
+    soft = np.stack([lang * (1 - poor)[:, None], lang * poor[:, None]], axis=2).reshape(3000, 8)
+    rows = spark.createDataFrame([(i, 100, p.tolist()) for i, p in enumerate(soft)], "id long, n_tokens long, p array<double>")
+    monkeypatch.setattr(mixing, "posteriors", lambda *_: rows)
+    share = np.array([0.45, 0.05, 0.15, 1 / 60, 0.15, 1 / 60, 0.15, 1 / 60])
+    model = mixing.Softmax([f"d{i}" for i in range(8)], np.zeros((1, 8)), np.zeros((7, 8)))
+    got = mixing.mix(rows, model, {f"d{i}": x for i, x in enumerate(share)}).toPandas()
+    total = (got.rate * got.n_tokens).to_numpy() @ np.stack(got.p.to_list()) / got.n_tokens.sum()
+    assert np.abs(total - share / share.sum()).max() < mixing.TOLERANCE
+    assert got.miss.iloc[0] == pytest.approx(np.abs(total - share / share.sum()).max(), abs=1e-9)
