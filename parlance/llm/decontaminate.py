@@ -101,31 +101,41 @@ def test_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Te
         yield TestBlock(ids, texts)
 
 
-def search_shard(seq: np.ndarray, sa: np.ndarray, test: TestBlock) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Every occurrence of every window (position, length, item), and for each test suffix its longest match (length, position)."""
+def _flat(sa: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Positions in the ranges of `sa`, one range after the other."""
+    size = hi - lo
+    ends = np.cumsum(size)
+    return sa[np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size, size) + np.repeat(lo, size)]
+
+
+def search_shard(seq: np.ndarray, sa: np.ndarray, test: TestBlock) -> tuple[np.ndarray, ...]:
+    """Every occurrence of every window (position, length, item), and for every test suffix, where WINDOW words of it or more occur, the longest match there (position, length, suffix)."""
     n = len(test.keys)
     lo, hi = np.zeros(n, dtype=np.int64), np.full(n, len(sa), dtype=np.int64)
-    length, where = np.zeros(n, dtype=np.int64), np.full(n, -1, dtype=np.int64)
     at = np.arange(n)
-    hits = []
+    hits, spans = [], []
     depth = 0
+
+    def leave(a: np.ndarray, b: np.ndarray, j: np.ndarray) -> None:
+        """Matches of `depth` words that don't go on."""
+        if depth >= WINDOW and (b > a).any():
+            spans.append((_flat(sa, a, b), np.full(int((b - a).sum()), depth), np.repeat(j, b - a)))
+
     while len(at):
-        lo, hi = _narrow(seq, sa, lo, hi, depth, test.keys[at + depth])
-        alive = lo < hi
-        at, lo, hi = at[alive], lo[alive], hi[alive]
+        low, high = _narrow(seq, sa, lo, hi, depth, test.keys[at + depth])
+        leave(lo, low, at)
+        leave(high, hi, at)
+        alive = low < high
+        at, lo, hi = at[alive], low[alive], high[alive]
         depth += 1
-        length[at], where[at] = depth, sa[lo]
         whole = test.window[at] == depth
         if whole.any():
             a, b, j = lo[whole], hi[whole], at[whole]
-            size = b - a
-            ends = np.cumsum(size)
-            flat = np.arange(int(ends[-1])) - np.repeat(ends - size, size) + np.repeat(a, size)
-            hits.append((sa[flat], np.repeat(test.window[j], size), np.repeat(test.item[j], size)))
+            hits.append((_flat(sa, a, b), np.repeat(test.window[j], b - a), np.repeat(test.item[j], b - a)))
         more = at + depth < test.stop[at]
+        leave(lo[~more], hi[~more], at[~more])
         at, lo, hi = at[more], lo[more], hi[more]
-    position, width, item = (np.concatenate(x) for x in zip(*hits, strict=True)) if hits else (np.zeros(0, dtype=np.int64),) * 3
-    return position, width, item, length, where, test.item
+    return tuple(x for found in (hits, spans) for x in ([np.concatenate(y) for y in zip(*found, strict=True)] if found else [np.zeros(0, dtype=np.int64)] * 3))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", share: float = 0.05, carry: list[str] | None = None, drop: bool = False) -> DataFrame:
@@ -172,16 +182,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             if sa is None or depth < test.longest:
                 depth = max(test.longest, WINDOW)
                 sa = suffix_array(seq, depth)
-            position, width, item, length, where, of = search_shard(seq, sa, test)
+            position, width, item, spot, length, suffix = search_shard(seq, sa, test)
             np.add.at(cover, position, 1)
             np.add.at(cover, position + width, -1)
             pairs = np.unique(owner[position] * np.int64(len(test.ids)) + item)
             for doc, it in zip(*divmod(pairs, len(test.ids)), strict=True):
                 items[doc] = items[doc] | {test.ids[it]}
-            for j in np.argsort(length, kind="stable")[np.searchsorted(np.sort(length), WINDOW) :]:
-                doc = owner[where[j]]
-                if length[j] > longest[doc]:
-                    longest[doc], longest_item[doc], longest_word[doc] = length[j], test.ids[of[j]], where[j] - first[doc]
+            # of each document the longest, then the first in the benchmark and in the document
+            doc = owner[spot]
+            order = np.lexsort((spot, suffix, -length, doc))
+            for i in order[np.flatnonzero(np.diff(doc[order], prepend=-1))]:
+                d = doc[i]
+                if length[i] > longest[d]:
+                    longest[d], longest_item[d], longest_word[d] = length[i], test.ids[test.item[suffix[i]]], spot[i] - first[d]
         hit = segment_sums((np.cumsum(cover[:-1]) > 0).astype(np.int64), first)
         dirty = (hit > 0) & (percent * hit >= counts)
         if drop:

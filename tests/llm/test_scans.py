@@ -72,6 +72,16 @@ def test_decontamination_longest(spark):
     assert (r["longest"], r["longest_item"], r["longest_word"], r["n_hit"]) == (20, "4", 7, 20)
 
 
+def test_decontamination_longest_in_every_document(spark):
+    """Documents of a shard that share a passage, one in full, one twice, one a shorter part."""
+    passage = [f"w{i}" for i in range(20)]
+    texts = {1: ["x", *passage], 2: [*passage, "y"], 3: ["z", "z", *passage[:15], "z"], 4: passage[:12], 5: [*passage, *passage]}
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").coalesce(1)
+    b = spark.createDataFrame([(4, "q " + " ".join(passage) + " q")], "item_id long, text string")
+    got = {r["doc_id"]: (r["longest"], r["longest_item"], r["longest_word"]) for r in decontaminate.decontaminate(d, b).collect()}
+    assert got == {1: (20, "4", 1), 2: (20, "4", 0), 3: (15, "4", 2), 4: (0, None, 0), 5: (20, "4", 0)}
+
+
 def test_decontamination_edges(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "word")], "item_id long, text string")
