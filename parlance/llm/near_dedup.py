@@ -115,7 +115,7 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Data
 
 
 def _keys(reps: DataFrame, t: float) -> DataFrame:
-    """Rows (id, n, vals of (df, v)): the lists of two documents or more that a set enters."""
+    """Rows (id, vals of (df, v)), one an id: the lists of two sets or more that it enters."""
     found = []
     for column in ("triples", "vals"):
         values = reps.select("id", "n", F.explode(column).alias("v"))
@@ -146,7 +146,8 @@ def _keys(reps: DataFrame, t: float) -> DataFrame:
     own = few.join(reps.select("id", "least"), "id").withColumn("call", F.pmod(F.xxhash64("v"), F.lit(calls)))
     kept = own.groupBy("call").applyInArrow(sieve, f"id {kind}, n long, df long, v long").unionByName(many.select("id", "n", "df", "v"))
     entered = kept.groupBy("id", "n").agg(F.collect_list(F.struct("df", "v")).alias("vals"))
-    return entered.unionByName(short).groupBy("id", "n").agg(F.flatten(F.collect_list("vals")).alias("vals"))
+    # an id with several texts is one member of a list
+    return entered.unionByName(short).groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("vals"))).alias("vals"))
 
 
 def _estimates(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -229,7 +230,7 @@ def _open_lists(keyed: DataFrame, label: DataFrame | None) -> tuple[DataFrame, D
     if label is None:
         at = keyed.withColumn("comp", F.col("id"))
     else:
-        at = keyed.join(label, keyed["id"] == label["node"], "left").select("id", "n", "vals", F.coalesce("root", "id").alias("comp"))
+        at = keyed.join(label, keyed["id"] == label["node"], "left").select("id", "vals", F.coalesce("root", "id").alias("comp"))
     member = at.select("id", "comp", F.explode("vals.v").alias("v"))
     per = member.groupBy("v", "comp").agg(F.count(F.lit(1)).alias("count"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
     stat = per.groupBy("v").agg(F.max(F.struct("count", "comp")).alias("top"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("comps"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")).where("comps > 1")
@@ -284,10 +285,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest id stands for it. An empty table gives no rows.
     """
     t = percent / 100
-    seen = materialize(_sketches(docs, id_col, text_col, shingle), "near-sketches")
+    seen = materialize(_sketches(docs, id_col, text_col, shingle).withColumn("nth", F.monotonically_increasing_id()), "near-sketches")
     full = seen.where("sig is not null and id is not null")
-    classes = materialize(full.groupBy("sig").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("class_size")), "near-classes")
-    reps = full.join(classes, (full["sig"] == classes["sig"]) & (full["id"] == classes["rep"])).select(full["id"], "n", "triples", "vals", "least")
+    classes = materialize(full.groupBy("sig").agg(F.min(F.struct("id", "nth")).alias("least"), F.count(F.lit(1)).alias("class_size")).select("sig", F.col("least.id").alias("rep"), F.col("least.nth").alias("rep_nth"), "class_size"), "near-classes")
+    # one row a class, though rows repeat
+    reps = full.join(classes, (full["sig"] == classes["sig"]) & (full["nth"] == classes["rep_nth"])).select(full["id"], "n", "triples", "vals", "least")
     keyed = materialize(_keys(reps, t), "near-keys")
 
     wanted = keyed.select(F.col("id").alias("w")).distinct()

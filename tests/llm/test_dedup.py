@@ -110,3 +110,16 @@ def test_near_stage(odd_docs):
     assert got.columns == odd_docs.columns
     ids = {r["doc_id"] for r in got.collect()}
     assert {1, 4, 5, 6, 7, None} <= ids and not {2, 3, 8, 11} & ids
+
+
+def test_near_repeated_rows(spark):
+    """Lists of the same size and largest id stay apart when every row occurs twice."""
+    rng = random.Random(11)
+    rows = []
+    for g in range(150):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(60)]
+        end = [f"w{rng.randrange(10**9)}" for _ in range(6)]
+        rows += [(1000 + g, " ".join(words)), (g, " ".join(words[:-6] + end)), (500 + g, " ".join(words[-6:]))]
+    want = brute(rows, 2, 80)
+    got = near_duplicates(spark.createDataFrame(rows + rows, "doc_id long, text string"), shingle=2).collect()
+    assert len(got) == 900 and {r["doc_id"]: r["component_id"] for r in got} == want
