@@ -29,6 +29,8 @@ SAMPLE_CHARS = 20_000
 TOLERANCE = 1e-3
 #: Root mean square of a plain step, in rates by tokens, under which the targets can't be met better.
 STATIONARY = 1e-3
+#: Share of the squared distance that a plain step must take off for the descent to go on.
+GAIN = 1e-3
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", per_label: int = SAMPLE_DOCS, max_chars: int = SAMPLE_CHARS) -> Softmax:
@@ -115,7 +117,7 @@ def _descend(rows: DataFrame, k: int, goal: np.ndarray) -> tuple[list[np.ndarray
             continue
         steps.append(step)
         miss, active = after, moments
-        if not may and moved < STATIONARY**2 * total:
+        if not may and (moved < STATIONARY**2 * total or after @ plain @ after > (1 - GAIN) * distance):
             break
         may = True
     return steps, float(np.abs(miss).max())
@@ -128,7 +130,7 @@ def mix(docs: DataFrame, model: Softmax, targets: dict, id_col: str = "doc_id",
     shares are scaled to 1, and a domain that the classifier doesn't know is
     left out. The expected tokens of all domains add up to those of `docs`.
     The descent goes on until every domain's share is within TOLERANCE of its
-    target or no step leads nearer; miss is the largest difference left, the
+    target, or a plain step gains next to nothing (GAIN, STATIONARY); miss is the largest difference left, the
     same in all rows. copies is the rate rounded up or down by a hash of the id, so that it is
     right on average and the same in every run. Null and word-less texts have
     no tokens, and rates that follow their posteriors; a null id gets a rate
