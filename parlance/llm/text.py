@@ -2,20 +2,26 @@
 
 Words are found and hashed for a whole block of texts at once: a block is a
 byte buffer with row offsets, a word is a maximal run of bytes of a class, and
-its 64-bit key is a polynomial of its bytes taken from one prefix sum.
+its 64-bit key is a polynomial of its bytes taken from prefix sums. Buffers are
+worked on in chunks, so that only arrays of words grow with a text, and a task
+gives back what its allocators hold when it ends.
 """
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Bytes of text worked on at a time inside a task.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
+#: Bytes that are searched and hashed at a time.
+CHUNK = 1 << 19
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -27,9 +33,9 @@ ALNUM = np.ones(256, dtype=bool)
 ALNUM[0x00:0x30] = ALNUM[0x3A:0x61] = ALNUM[0x7B:0x80] = False
 ALNUM[65:91] = True
 
+_WRAP = 1 << 64
 _BASE = 0x9E3779B97F4A7C15 | 1
-_BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_POWERS: dict[str, np.ndarray] = {}
+_BYTE = (np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[LOWER]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -42,14 +48,31 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS["up"]) < n:
-        size = max(n, BLOCK_BYTES + (1 << 16))
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
-    return _POWERS["up"], _POWERS["down"]
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """The base's powers and those of its inverse, from 0 to CHUNK."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, _WRAP)):
+        steps = np.full(CHUNK + 1, base, dtype=np.uint64)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    return out[0], out[1]
+
+
+def release() -> None:
+    """Give memory that the allocators of this process hold back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim:
+        trim(0)
+
+
+@functools.cache
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return None
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +109,7 @@ class Words:
     end: np.ndarray
     row: np.ndarray
     first: np.ndarray  # index of each row's first word, with the total at the end
-    sums: np.ndarray | None
+    _sums: dict[int, np.ndarray] = field(default_factory=dict)
 
     @property
     def rows(self) -> int:
@@ -96,49 +119,82 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
+    def _prefix(self, at: int) -> np.ndarray:
+        """Prefix sums of the chunk that begins at byte `at`; kept for blocks of ordinary size."""
+        sums = self._sums.get(at)
+        if sums is None:
+            part = self.buf[at : at + CHUNK]
+            sums = np.zeros(len(part) + 1, dtype=np.uint64)
+            np.cumsum(_BYTE[part] * _powers()[0][: len(part)], out=sums[1:])
+            if len(self.buf) <= 2 * BLOCK_BYTES:
+                self._sums[at] = sums
+        return sums
+
     def keys(self, start: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
-        """64-bit keys of the words, or of other byte ranges of the block."""
+        """64-bit keys of the words, or of one part of each of them; A-Z count as a-z."""
         start, end = self.start if start is None else start, self.end if end is None else end
-        _, down = _powers(len(self.buf) + 1)
-        h = (self.sums[end] - self.sums[start]) * down[start]
+        h = np.zeros(len(start), dtype=np.uint64)
+        _, down = _powers()
+        for at in range(0, len(self.buf), CHUNK):
+            stop = at + CHUNK
+            a, b = np.searchsorted(start, [at, stop])
+            over = a > 0 and int(end[a - 1]) > at
+            if a == b and not over:
+                continue
+            sums = self._prefix(at)
+            s = start[a:b] - at
+            h[a:b] = (sums[np.minimum(end[a:b], stop) - at] - sums[s]) * down[s]
+            if over:  # the last part before this chunk goes on in it
+                more = int(sums[min(int(end[a - 1]), stop) - at]) * pow(_BASE, at - int(start[a - 1]), _WRAP)
+                h[a - 1] = np.uint64((int(h[a - 1]) + more) % _WRAP)
         return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def words(column: pa.Array, kind: np.ndarray, hashed: bool = True) -> Words:
-    """Words of class `kind` of every row; A-Z count as a-z in keys."""
+def words(column: pa.Array, kind: np.ndarray) -> Words:
+    """Words of class `kind` of every row."""
     buf, offsets = text_buffer(column)
     n = len(buf)
-    inside = kind[buf]
-    before = np.zeros(n + 1, dtype=bool)
-    before[1:] = inside
-    edge = before.copy()
-    edge[offsets[:-1]] = False
-    start = np.flatnonzero(inside & ~edge[:-1])
-    after = np.zeros(n + 1, dtype=bool)
-    after[:-1] = inside
-    after[offsets[1:]] = False
-    end = np.flatnonzero(inside & ~after[1:]) + 1 if n else start
+    starts, ends = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for at in range(0, n, CHUNK):
+        inside = kind[buf[at : at + CHUNK]]
+        stop = at + len(inside)
+        cuts = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop, side="right")] - at
+        joined = np.empty(len(inside) + 1, dtype=bool)  # whether each byte is of one word with the byte before it
+        joined[1:-1] = inside[1:] & inside[:-1]
+        joined[0] = at > 0 and inside[0] and kind[buf[at - 1]]
+        joined[-1] = stop < n and inside[-1] and kind[buf[stop]]
+        joined[cuts] = False
+        starts.append(np.flatnonzero(inside & ~joined[:-1]) + at)
+        ends.append(np.flatnonzero(inside & ~joined[1:]) + (at + 1))
+    start, end = np.concatenate(starts), np.concatenate(ends)
     row = np.searchsorted(offsets, start, side="right") - 1
     first = np.searchsorted(start, offsets, side="left")
-    sums = None
-    if hashed:
-        up, _ = _powers(n + 1)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[LOWER[buf]] * up[:n], out=sums[1:])
-    return Words(buf, offsets, start, end, row, first, sums)
+    return Words(buf, offsets, start, end, row, first)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run` over a task's batches, giving back memory when the task ends."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
 
 
-def map_blocks(df: DataFrame, text: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_blocks(df: DataFrame, text: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = BLOCK_BYTES) -> DataFrame:
     """Apply `fn` to blocks of rows whose column `text` holds a bounded number of bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in blocks(batch.column(text)):
+            for a, b in blocks(batch.column(text), limit):
                 out = fn(batch.slice(a, b - a))
                 if out is not None and out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def segment_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:

@@ -116,14 +116,11 @@ class Model:
     trans: np.ndarray
     curve: np.ndarray
 
-    def emissions(self, keys: np.ndarray) -> np.ndarray:
-        out = np.full(keys.shape[1], self.bias)
-        for row in keys:
-            out += self.weights[slots(row)]
-        return out
-
     def tag(self, found: Words) -> np.ndarray:
-        return marginals(self.emissions(feature_keys(found)), chains(found), self.trans)
+        emit = np.full(len(found.start), self.bias)
+        for kind in range(1 + len(HEADS) + len(TAILS)):
+            emit += self.weights[slots(feature_keys(found, kind)[0])]
+        return marginals(emit, chains(found), self.trans)
 
     def score(self, p: np.ndarray, found: Words) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(_totals(p, found) @ self.curve, -40, 40)))

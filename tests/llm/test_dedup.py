@@ -79,8 +79,8 @@ def test_near_edges(odd_docs, no_docs, k):
     assert near_duplicates(no_docs, shingle=k).count() == 0
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_near_groups(spark, seed):
+@pytest.mark.parametrize(("seed", "percent", "exact"), [(1, 80, None), (2, 80, None), (3, 80, True), (4, 50, None), (5, 92, None)])
+def test_near_groups(spark, seed, percent, exact):
     """Chains, near copies on both sides of the threshold, short texts, and a large group."""
     rng = random.Random(seed)
     rows = []
@@ -89,7 +89,7 @@ def test_near_groups(spark, seed):
         words = prose(rng, n).split()
         for _ in range(rng.choice((2, 3, 9))):
             own = list(words)
-            for _ in range(rng.randrange(0, max(1, n // 12) + 1)):
+            for _ in range(rng.randrange(0, max(1, n // (12 if percent > 60 else 5)) + 1)):
                 own[rng.randrange(n)] = f"w{rng.randrange(10**6)}"
             rows.append(" ".join(own))
     words = prose(rng, 100).split()
@@ -100,8 +100,8 @@ def test_near_groups(spark, seed):
         rows.append(" ".join(own))
     rng.shuffle(rows)
     rows = list(enumerate(rows))
-    want = brute(rows, 2, 80)
-    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()}
+    want = brute(rows, 2, percent)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2, percent=percent, exact=exact).collect()}
     assert got == want
 
 

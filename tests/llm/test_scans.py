@@ -4,9 +4,11 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from parlance.llm import decontaminate, html_text, licenses, token_count
+from parlance.llm import text as buffers
 
 from .conftest import ALNUM, lower, prose
 
@@ -52,15 +54,15 @@ def leaks(spark):
     return docs, items
 
 
-def test_decontamination(spark, leaks, monkeypatch):
+def test_decontamination(spark, leaks):
     docs, items = leaks
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     keys = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     want = _brute(docs, items)
     assert any(r[5] for r in want)
     assert sorted((tuple(r[k] for k in keys) for r in decontaminate.decontaminate(d, b).collect()), key=repr) == want
-    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 50)  # several benchmark blocks
-    assert sorted((tuple(r[k] for k in keys) for r in decontaminate.decontaminate(d, b).collect()), key=repr) == want
+    whole = sorted(map(repr, decontaminate.decontaminate(d, b).collect()))
+    assert sorted(map(repr, decontaminate.decontaminate(d, b, pass_chars=900).collect())) == whole  # several passes
     kept = decontaminate.decontaminate(d, b, carry=d.columns, drop=True)
     assert kept.columns == d.columns and kept.count() == sum(not r[5] for r in want)
 
@@ -91,6 +93,39 @@ def test_decontamination_edges(spark, odd_docs, no_docs):
     assert decontaminate.decontaminate(no_docs, some).count() == 0
 
 
+def test_decontamination_clashing_names(spark, leaks):
+    docs, items = leaks
+    d = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in docs], "doc_id long, text string, n_words int, hits int, c0 int")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.decontaminate(d, b, carry=["doc_id", "n_words", "hits", "c0"])
+    assert got.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_item", "longest_word", "hits", "c0"]
+    assert {(r["hits"], r["c0"]) for r in got.collect()} == {(2, 3)}
+
+
+def test_words_of_very_long_texts():
+    """Words and keys don't depend on where chunks of the buffer end, nor on what stands around a text."""
+    rng = random.Random(4)
+    base = ["".join(rng.choice("ab1Zé .\n") for _ in range(rng.choice((0, 3, 200)))) for _ in range(500)]
+    long = " ".join(base) * 1000
+    assert len(long.encode()) > 30_000_000
+    word = "q" * (3 * buffers.CHUNK // 2)
+    texts = [None, base[7], long, word, f"{word} end", *base]
+    found = buffers.words(pa.array(texts, pa.string()), buffers.ALNUM)
+    for i in (2, 3, 4, 5, 40):
+        own = [w.encode() for w in ALNUM.findall(lower(texts[i]))]
+        mine = slice(found.first[i], found.first[i + 1])
+        at = found.offsets[i]
+        assert found.counts[i] == len(own)
+        for j in list(range(mine.start, mine.stop))[:: max(1, len(own) // 3000)]:
+            assert found.buf[found.start[j] : found.end[j]].tobytes().lower() == own[j - mine.start]
+        assert found.start[mine.start] >= at
+    keys = found.keys()
+    small = buffers.words(pa.array([base[7], f"{word.upper()} end"], pa.string()), buffers.ALNUM)
+    assert (small.keys()[: small.first[1]] == keys[found.first[1] : found.first[2]]).all()
+    assert keys[found.first[3]] == keys[found.first[4]] == small.keys()[small.first[1]]
+    assert (keys[found.first[2] : found.first[2] + 100] == buffers.words(pa.array([long[:4000]], pa.string()), buffers.ALNUM).keys()[:100]).all()
+
+
 LICENCES = [
     ("", (0, 0, None, None, "", "", 0.0)),
     ("Released under the MIT License.", (5, 1, 3, 3, "mit", "mit", 0.9)),
