@@ -6,8 +6,9 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from parlance.llm.exact_dedup import build_directory, exact_dedup, keep_exact
+from parlance.llm.exact_dedup import Directory, build_directory, exact_dedup, keep_exact
 from parlance.llm.near_dedup import keep_near, near_duplicates
 
 from .conftest import SPACE, lower, prose
@@ -15,25 +16,50 @@ from .conftest import SPACE, lower, prose
 
 def test_directory_splits_overfull_buckets():
     cells = {0: 50, 1: 60, 2: 1, 3: 1, 7: 40}
-    got = build_directory(cells, 64, bits=3)
+    got, doublings, over = build_directory(cells, 64, bits=3)
     load = defaultdict(int)
     for c, n in cells.items():
         load[got[c]] += n
-    assert max(load.values()) <= 64 and got == sorted(got) and len(got) == 8
-    assert build_directory({0: 10**9}, 64, bits=3)[0] == 0
-    assert build_directory({}, 64, bits=3) == [0] * 8
-
-
-@pytest.mark.parametrize("capacity", [1 << 20, 2])
-def test_exact_edges(odd_docs, capacity):
+    assert max(load.values()) <= 64 and got == sorted(got) and len(got) == 8 and doublings == 3 and not over
+    assert build_directory({0: 10**9}, 64, bits=3)[2]
+    assert build_directory({}, 64, bits=3) == ([0] * 8, 0, False)
+
+
+def test_directory_doubles_and_names_hot_keys(spark):
+    rows = [(i, f"text {i}") for i in range(600)] + [(1000 + i, "copy") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = Directory(docs, F.col("text"))
+    assert made.doublings >= 3 and len(set(made.cells)) >= 8 and len(made.hot) == 1
+    fine = Directory(docs, F.col("text"), capacity=1)  # cells as fine as it takes for one key a bucket
+    assert len(set(fine.cells)) >= 601 and fine.bits > made.bits
+    got = exact_dedup(docs).collect()
+    assert len({r["bucket"] for r in got}) >= 8 and {r["chain"] for r in got} == {0}
+    assert {r["group_size"] for r in got if r["doc_id"] >= 1000} == {200} and {r["keep_id"] for r in got if r["doc_id"] >= 1000} == {1199}
+    assert keep_exact(docs).count() == 601
+
+
+@pytest.mark.parametrize(("capacity", "key_bits"), [(None, 64), (2, 64), (2, 3), (None, 0)])
+def test_exact_edges(odd_docs, capacity, key_bits):
+    """Short keys collide, so chains hold several texts and only their bytes tell them apart."""
     groups = defaultdict(list)
     rows = [(r["doc_id"], r["text"] or "") for r in odd_docs.collect()]
     for i, t in rows:
         groups[t].append(i)
     keep = {t: max((i for i in ids if i is not None), default=None) for t, ids in groups.items()}
     want = sorted(((i, keep[t], len(groups[t]), i == keep[t], hashlib.sha256(t.encode()).hexdigest()) for i, t in rows), key=repr)
-    got = sorted((tuple(r)[:5] for r in exact_dedup(odd_docs, capacity=capacity).collect()), key=repr)
-    assert got == want
+    got = exact_dedup(odd_docs, capacity=capacity, key_bits=key_bits).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=repr) == want
+    if key_bits < 64:
+        assert max(r["chain"] for r in got) > 0
+
+
+def test_exact_of_colliding_hot_keys(spark):
+    """All texts share a key that most rows have."""
+    rows = [(i, f"text {i % 3}" if i % 2 else None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["keep_id"] for r in exact_dedup(docs, key_bits=0).collect()}
+    assert got == {i: max(j for j, u in rows if u == t) for i, t in rows}
+    assert sorted(map(tuple, keep_exact(docs, key_bits=0).collect()), key=repr) == sorted(((i, t) for i, t in rows if got[i] == i), key=repr)
 
 
 def test_exact_stage_keeps_one(odd_docs, no_docs):
