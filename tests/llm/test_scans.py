@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
+import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -181,17 +184,38 @@ PAGE = (
 
 
 def test_html_structure():
-    lines, inside = html_text.parse_blocks(PAGE)
-    assert lines == ["Head & line", "One two three", "A b c", "Open end"] and all(inside)
+    lines, kinds = html_text.parse_blocks(PAGE)
+    text = [x for x, k in zip(lines, kinds, strict=True) if k == html_text.ARTICLE]
+    assert text == ["Head & line", "One two three", "A b c", "Open end"] and html_text.PLAIN not in kinds
     assert html_text.parse_blocks("") == ([], [])
-    assert html_text.parse_blocks("plain &lt;text&gt;") == (["plain <text>"], [False])
+    assert html_text.parse_blocks("plain &lt;text&gt;") == (["plain <text>"], [html_text.PLAIN])
     assert html_text.parse_blocks("<p>a<div>b</div>c")[0] == ["a", "b", "c"]
     assert html_text.parse_blocks("<div hidden>x</div><p style='display: none'>y</p><p>z</p>")[0] == ["z"]
-    assert html_text.parse_blocks("<div class='side-bar'>x</div><div class='layout with-sidebar'><p>y</div><ul id='readerComments'><li>z</ul>")[0] == ["y"]
-    assert html_text.parse_blocks("<p>unclosed <b>bold <nav>menu")[0] == ["unclosed bold"]
+    assert _plain("<div class='side-bar'>x</div><div class='layout with-sidebar'><p>y</div><ul id='readerComments'><li>z</ul>") == ["y"]
+    assert _plain("<p>unclosed <b>bold <nav>menu") == ["unclosed bold"]
+    assert _plain("<p title='a>b' alt=\"c>\">q</p> 3 < 4 <unclosed") == ["q", "3 < 4 <unclosed"]
+    assert _plain("<article><header class='entry-header'><h1>Title</h1></header><p>so <math><mi>x</mi></math> <label>holds</label></p></article>") == ["Title", "so x holds"]
+    assert _plain("<main><div class='article-header'>T</div><section class='legal'>L</section><div class='ad'>A</div></main>") == ["T", "L"]
 
 
-def test_longest_common_subsequence():
+def _plain(page):
+    return [x for x, k in zip(*html_text.parse_blocks(page), strict=True) if k != html_text.OUTSIDE]
+
+
+@pytest.mark.parametrize("bad", ['<a "', '<i x="', "<", "<!--", "<p><b>", "&amp", "</x><div>", "<div class='a", "<script>"])
+def test_broken_markup_takes_linear_time(bad):
+    cost = []
+    for n in (1 << 16, 1 << 18):
+        best = 9.0
+        for _ in range(2):
+            began = time.perf_counter()
+            html_text.parse_blocks((bad * (n // len(bad)))[:n] + ">")
+            best = min(best, time.perf_counter() - began)
+        cost.append(best)
+    assert cost[1] < max(0.1, 9 * cost[0]) and cost[1] < 3
+
+
+def test_longest_common_subsequence(monkeypatch):
     rng = random.Random(6)
     for _ in range(200):
         a, b = ([rng.choice("abcd") for _ in range(rng.randrange(0, 9))] for _ in range(2))
@@ -199,11 +223,14 @@ def test_longest_common_subsequence():
         for i in range(len(a)):
             for j in range(len(b)):
                 table[i + 1][j + 1] = table[i][j] + 1 if a[i] == b[j] else max(table[i][j + 1], table[i + 1][j])
-        got = html_text.common_lines(a, b)
-        assert sum(got) == table[-1][-1]
-        kept, at = [x for x, k in zip(a, got, strict=True) if k], 0
-        for x in kept:
-            at = b.index(x, at) + 1
+        for listed in (1 << 20, -1):
+            monkeypatch.setattr(html_text, "LISTED", listed)
+            got = html_text.common_lines(a, b)
+            assert sum(got) == table[-1][-1]
+            at = 0
+            for x in [x for x, k in zip(a, got, strict=True) if k]:
+                at = b.index(x, at) + 1
+    assert sum(html_text.common_lines(["x"] * 3000, ["x"] * 2000 + ["y"] + ["x"] * 500)) == 2500
 
 
 def test_html_differencing(spark, no_docs):
@@ -226,6 +253,62 @@ def test_html_differencing_in_articles(spark):
     assert got == {i: f"Story number {i} is long enough" for i in range(5)} | dict.fromkeys(range(5, 10), "The same article on each page\nand its second line")
 
 
+def _settle_brute(rows):
+    """Texts by the rules alone: neighbours in one sorted list, subsequences by dynamic programming."""
+
+    def shared(a, b):
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                table[i][j] = table[i + 1][j + 1] + 1 if a[i] == b[j] else max(table[i + 1][j], table[i][j + 1])
+        return table[0][0], {x for x in a if x in b}
+
+    def place(url):
+        m = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)", url or "")
+        return (m[1].lower(), m[2]) if m else ("", "")
+
+    pages = sorted((*place(url), i, *html_text.parse_blocks(page or "")) for i, url, page in rows)
+    out = {}
+    for k, (host, path, i, lines, kinds) in enumerate(pages):
+        near = [pages[j] for d in (1, 2) for j in (k - d, k + d) if 0 <= j < len(pages) and pages[j][0] == host]
+        near.sort(key=lambda x: -len(os.path.commonprefix([x[1], path])))
+        size = sum(len(x) for x, kind in zip(lines, kinds, strict=True) if kind != 2)
+        article = sum(len(x) for x, kind in zip(lines, kinds, strict=True) if kind == 1)
+        # lines of the fixture are distinct in a page and in one order on all, so what two pages share is a set
+        others = [shared(lines, x[3])[1] for x in near]
+        if 2 * article >= size > 0:
+            others = [s for s in others if 2 * sum(len(x) for x, kind in zip(lines, kinds, strict=True) if kind == 1 and x in s) < article]
+        elif size:
+            others = [s for s in others if any(kind != 2 and x not in s for x, kind in zip(lines, kinds, strict=True))]
+        left = [(x, kind) for x, kind in zip(lines, kinds, strict=True) if kind != 2 and not (others and x in others[0] and (kind == 0 or sum(x in s for s in others) >= 2))]
+        inner = [x for x in left if x[1] == 1]
+        if 2 * sum(len(x) for x, _ in inner) >= sum(len(x) for x, _ in left):
+            left = inner
+        out[i] = "\n".join(x for x, _ in left)
+    return out
+
+
+def test_html_differencing_by_brute_force(spark):
+    """Texts are those of the rules for any number of ranges, of which many are shorter than the pages they look at."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(140):
+        host = rng.choice("aaaab")
+        top = [f"<div>{x}</div>" for x in (f"Welcome to {host}", "Latest news", f"Page {i}") if rng.random() < 0.8]
+        story = [f"<p>{prose(rng, rng.randrange(1, 12))} {i}.{j}</p>" for j in range(rng.randrange(0, 4))]
+        quote = ["<p>An often quoted line</p>"] if rng.random() < 0.3 else []
+        mark = rng.choice((("<article>", "</article>"), ("<div>", "</div>")))
+        rows.append((i, f"http://{host}.com/{rng.choice(('x', 'x/y', 'z'))}/{rng.randrange(40)}", "".join([*top, mark[0], *story, *quote, mark[1], "<div>All rights</div><footer>Imprint</footer>"])))
+        if rng.random() < 0.1:
+            rows.append((1000 + i, rows[-1][1] + "/copy", rows[-1][2]))
+    want = _settle_brute(rows)
+    assert len(set(want.values())) > 60
+    pages = spark.createDataFrame([(*r, 1, "x", [2]) for r in rows], "page_id long, url string, html string, part int, text string, lines array<int>").repartition(7)
+    for partitions in (1, 4, 40):
+        got = {r["page_id"]: r["text"] for r in html_text.extract_main_text(pages, partitions=partitions).collect()}
+        assert got == want
+
+
 def _split(tokens, width, size):
     data = np.array(tokens, dtype=f"<u{width}").tobytes()
     return [data[i : i + size] for i in range(0, len(data), size)]
