@@ -339,7 +339,42 @@ def exchange_ok(m: re.Match) -> bool:
 # ---- seed phrases ----------------------------------------------------------
 
 _SEED_LABEL = r"(?:seed|mnemonic|recovery|secret)(?:[ -](?:phrase|words))|(?:сид|мнемоническ\w*|секретн\w*)[ -]?фраз\w{1,2}|seed|сид"
-SEED_RUN = r"(?:(?:\d{1,2}[.)]\s?)?[a-z]{3,8}[ \t\n,;]{1,3}){11,23}(?:\d{1,2}[.)]\s?)?[a-z]{3,8}(?![a-z])"
+_SEED_PART = r"(?:\d{1,2}[.)][ \t]?)?[a-z]{3,8}"
+_SEED_GAP = r"(?:[ \t]{1,3}|[ \t]?[,;][ \t]?|[ \t]?\n[ \t]?){1,2}"
+SEED_RUN = rf"{_SEED_PART}(?:{_SEED_GAP}{_SEED_PART}){{11,23}}(?![a-z])"
+#: A run of words without a label that may be a phrase.
+SEED_WORDS = re.compile(rf"(?<![\w'-]){_SEED_PART}(?:{_SEED_GAP}{_SEED_PART}){{11,}}(?![\w'-])", I)
+_SEED_WORD = re.compile(r"[a-z]{3,8}", I)
+#: Lengths of phrases; words of ordinary sentences, none of which the wallets' list holds.
+SEED_LENGTHS = frozenset({12, 15, 18, 21, 24})
+_SENTENCE = frozenset("the and for not but with from have has had was were are been his her its our their your they she him who whom which why how does did than into onto such these those could should being".split())
+
+
+def seed_spans(text: str, words: frozenset[str] = frozenset()) -> list[tuple[int, int]]:
+    """Seed phrases without a label.
+
+    With the wallets' word list, every run of twelve of its words or more;
+    without it, a run that fills a line or stands behind a colon or in quotes,
+    of a phrase's length, and holds no word of ordinary sentences.
+    """
+    found = []
+    for run in SEED_WORDS.finditer(text):
+        parts = [(m.start(), m.end(), m[0].lower()) for m in _SEED_WORD.finditer(text, *run.span())]
+        if words:
+            at = 0
+            while at < len(parts):
+                end = at
+                while end < len(parts) and parts[end][2] in words:
+                    end += 1
+                if end - at >= 12:
+                    found.append((parts[at][0], parts[end - 1][1]))
+                at = end + 1
+        elif len(parts) in SEED_LENGTHS and not any(w in _SENTENCE for _, _, w in parts) and len({text[a:b].islower() for a, b, _ in parts[1:]}) == 1:
+            before, after = text[: run.start()].rstrip(" \t")[-1:], text[run.end() :].lstrip(" \t")[:1]
+            if before in ("", "\n", ":", '"', "'", "«", "`", "(") and after in ("", "\n", '"', "'", "»", "`", ")"):
+                found.append(run.span())
+    return found
+
 
 # ---- fragments -------------------------------------------------------------
 

@@ -9,9 +9,10 @@ whatever the scrubber removes it reports, and on scrubbed text it is silent.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ from ..plans.policy import Anonymize
 from .cards import find_cards
 from .links import BARE, allowed, host_of, is_bare_host, keeps_host, url_placeholder
 from .normalize import FILLER, plain_text, utf16_span
-from .rules import BEFORE_CARDS, CONTEXTUAL, IDENTITIES, TABLE, Rule, digits_of, span, value
+from .rules import BEFORE_CARDS, CONTEXTUAL, IDENTITIES, TABLE, Rule, digits_of, seed_spans, span, value
 from .vocabulary import Roster, inside_constant
 
 #: Words of placeholders.
@@ -34,27 +35,48 @@ _TRAILER = re.compile(r"[ \t|;:,/]{0,3}\n?[ \t]{0,3}(?:exp\.?|до|срок)?[ \
 _WORD = re.compile(r"\d{8,}")
 
 
-@dataclass
 class Claims:
     """A text with the spans that layers have claimed."""
 
-    text: str
-    spans: list[tuple[int, int, str, str]] = field(default_factory=list)  # start, end, replacement, rule
-    masked: str = ""
-
-    def __post_init__(self) -> None:
-        self.masked = self.text
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.spans: list[tuple[int, int, str, str]] = []  # start, end, replacement, rule
+        self._taken = bytearray(len(text))
+        self._masked, self._shown = text, 0  # the text without the first spans, and how many of them
+
+    @property
+    def masked(self) -> str:
+        """The text with claimed spans blanked."""
+        if self._shown < len(self.spans):
+            out, at = [], 0
+            for a, b, _, _ in sorted(self.spans[self._shown :]):
+                out += [self._masked[at:a], FILLER * (b - a)]
+                at = b
+            self._masked, self._shown = "".join([*out, self._masked[at:]]), len(self.spans)
+        return self._masked
 
     def free(self, a: int, b: int) -> bool:
-        return a < b and FILLER not in self.masked[a:b]
+        return a < b and self._taken.find(1, a, b) < 0
 
     def claim(self, a: int, b: int, replacement: str, rule: str) -> bool:
         if not self.free(a, b):
             return False
         self.spans.append((a, b, replacement, rule))
-        self.masked = self.masked[:a] + FILLER * (b - a) + self.masked[b:]
+        self._taken[a:b] = b"\x01" * (b - a)
         return True
 
+    def gaps(self, a: int, b: int) -> list[tuple[int, int]]:
+        """Free stretches of a range."""
+        out = []
+        while a < b:
+            start = self._taken.find(0, a, b)
+            if start < 0:
+                break
+            stop = self._taken.find(1, start, b)
+            a = stop if stop >= 0 else b
+            out.append((start, a))
+        return out
+
     def result(self) -> str:
         out, at = [], 0
         for a, b, replacement, _ in sorted(self.spans):
@@ -63,14 +85,39 @@ class Claims:
         return "".join([*out, self.text[at:]])
 
 
+#: Rules that need no label, so they hold in the path of a link, whose words and numbers are routes and ids.
+PATH_RULES = frozenset("proxy tg_link url bot_token jwt credentials fb_token known_secret wallet txid ad_account email".split())
+_HEAD = re.compile(r"(?:[a-z][a-z0-9+.-]*://)?[^/?#]*", re.IGNORECASE)
+_SEGMENT = re.compile(r"(?<=[/?&=#;])[^/?&=#;]+")
+_PLUS_PHONE = re.compile(r"\+\d{10,15}(?!\d)")
+#: Parts of a query key, and what its value is.
+_TELLING = (("pass pwd", "<password>"), ("token secret key", "<token>"), ("inn", "<inn>"), ("otp", "<otp>"), ("phone tel msisdn mobile", "<phone>"), ("mail", "<email>"), ("card", "<card>"))
+
+
+def _readable(part: str) -> str:
+    """A part of a link without percent escapes, unless they spell the link's own signs or nothing printable."""
+    if "%" not in part:
+        return part
+    try:
+        found = unquote(part, errors="strict")
+    except UnicodeDecodeError:
+        return part
+    return part if not found.isprintable() or any(c in "/?#&=%;+<>" for c in found) else found
+
 
 class Scrubber:
     """Layers in order: entities, normal form, account numbers and cards, the table, repeats, known phones, hosts, usernames, custom patterns, keep terms, vocabulary."""
 
-    def __init__(self, policy: Anonymize | None = None, roster: Roster | None = None, table: tuple[Rule, ...] = TABLE) -> None:
-        self.policy, self.roster, self.table = policy or Anonymize(), roster or Roster(), table
+    def __init__(self, policy: Anonymize | None = None, roster: Roster | None = None, table: tuple[Rule, ...] = TABLE, labelled: bool = True) -> None:
+        self.policy, self.roster, self.table, self.labelled = policy or Anonymize(), roster or Roster(), table, labelled
         self.custom = [re.compile(p, re.IGNORECASE | re.MULTILINE) for p in self.policy.custom_patterns]
         self.hosts = frozenset(k.lower() for k in self.policy.keep_terms)
+        self.seed_words = frozenset(w.lower() for w in self.policy.seed_words)
+
+    @functools.cached_property
+    def _of_paths(self) -> Scrubber:
+        """The scrubber for paths of links that stay."""
+        return Scrubber(self.policy, self.roster, tuple(r for r in self.table if r.name in PATH_RULES and "val" not in r.pattern.groupindex), labelled=False)
 
     # -- layers
 
@@ -99,31 +146,39 @@ class Scrubber:
         return n
 
     def _inside_link(self, claims: Claims, a: int, b: int) -> None:
-        """Mask user info and telling query values of a link that is kept, then claim the rest as it is."""
+        """Mask user info and what the parts of a kept link spell, then claim the rest as it is.
+
+        Path segments go through the rules that need no label, query and
+        fragment values through all of them, both through the roster, in the
+        form that their percent escapes stand for.
+        """
         link = claims.text[a:b]
-        head = a + link.find("://") + 3 if "://" in link else a
-        if (at := link.find("@", head - a)) > 0 and "/" not in link[head - a : at]:
-            claims.claim(head, a + at, "<credentials>", "credentials")
-        for m in re.finditer(r"[?&#]([\w.-]{1,40})=([^&#\s]{1,400})", link):
-            key, raw = m[1].lower(), m[2]
-            kind = next((p for words, p in (("pass pwd", "<password>"), ("token secret key", "<token>"), ("inn", "<inn>"), ("otp", "<otp>"), ("phone tel", "<phone>"), ("mail", "<email>"), ("card", "<card>")) if any(w in key for w in words.split())), None)
+        head = _HEAD.match(link).end()
+        start = link.find("://") + 3 if "://" in link[:head] else 0
+        if (at := link.find("@", start, head)) > 0:
+            claims.claim(a + start, a + at, "<credentials>", "credentials")
+        query = min((i for i in (link.find("?", head), link.find("#", head)) if i >= 0), default=len(link))
+        key = ""
+        for m in _SEGMENT.finditer(link, head):
+            if link[m.end() : m.end() + 1] == "=" and m.start() > query:
+                key = m[0].lower()
+                continue
+            named, key = key if link[m.start() - 1] == "=" else "", ""
+            kind = next((shown for words, shown in _TELLING if any(w in named for w in words.split())), None)
             if kind:
-                claims.claim(a + m.start(2), a + m.end(2), kind, "url")
-            else:
-                inner = Scrubber(Anonymize(), Roster(), self.table)
-                shown = inner.scrub(raw)
-                if shown != raw:
-                    claims.claim(a + m.start(2), a + m.end(2), shown, "url")
+                claims.claim(a + m.start(), a + m.end(), kind, "url")
+                continue
+            asked = m.start() > query
+            text = plain_text(_readable(m[0].replace("+", " ") if asked and "%2b" not in m[0].lower() and not _PLUS_PHONE.fullmatch(m[0]) else m[0]))
+            shown = (self if asked else self._of_paths).scrub(_PLUS_PHONE.sub("<phone>", text))
+            if shown != text:
+                claims.claim(a + m.start(), a + m.end(), "%20".join(shown.split()), "url")
         host = host_of(link)
         if host and (shown := allowed(host, self.policy.allow_domains)) not in (None, host):
             where = claims.text.lower().find(host, a)
             claims.claim(where, where + len(host), shown, "url")
-        for i in range(a, b):
-            if claims.masked[i] != FILLER:
-                j = i
-                while j < b and claims.masked[j] != FILLER:
-                    j += 1
-                claims.claim(i, j, claims.text[i:j], "kept")
+        for i, j in claims.gaps(a, b):
+            claims.claim(i, j, claims.text[i:j], "kept")
 
     def _cards(self, claims: Claims) -> int:
         found = find_cards(claims.masked, self.policy.card_bins)
@@ -144,12 +199,15 @@ class Scrubber:
     def _table(self, claims: Claims) -> None:
         lower = claims.text.lower()
         numeric = any(c.isdigit() for c in claims.text)
-        if numeric:
+        if numeric and self.labelled:
             for rule in BEFORE_CARDS:
                 self._rule(claims, rule, lower)
         header = [r for r in self.table if r.name.startswith("td_")]
         for rule in header:
             self._rule(claims, rule, lower)
+        if self.labelled:
+            for a, b in seed_spans(claims.masked, self.seed_words):
+                claims.claim(a, b, "<seed-phrase>", "seed_phrase")
         cards = self._cards(claims) if numeric else 0
         own = bool(re.search(r"\d{6}\*{4,}", claims.text))
         for rule in self.table:
@@ -179,12 +237,8 @@ class Scrubber:
                     claims.claim(*m.span(), shown or "<domain>", "domain")
 
     def _usernames(self, claims: Claims) -> None:
-        r = self.roster
-        for pattern in (r.at_pattern, r.bare_pattern):
-            if pattern:
-                for m in pattern.finditer(claims.masked):
-                    if pattern is r.at_pattern or m["u"].lower() not in r.keep_folded:
-                        claims.claim(*m.span(), f"@{r.usernames[m['u'].lower()]}", "username")
+        for a, b, vid in self.roster.username_spans(claims.masked):
+            claims.claim(a, b, f"@{vid}", "username")
 
     def _vocabulary(self, claims: Claims) -> None:
         r = self.roster
@@ -193,9 +247,8 @@ class Scrubber:
             for m in r.keep_pattern.finditer(claims.masked):
                 if not any(a <= m.start() and m.end() <= b and (a, b) != m.span() for a, b in longer):
                     claims.claim(*m.span(), m[0], "kept")
-        if r.id_pattern:
-            for m in r.id_pattern.finditer(claims.masked):
-                claims.claim(*m.span(), "<id>", "user_id")
+        for a, b in r.id_spans(claims.masked):
+            claims.claim(a, b, "<id>", "user_id")
         if r.org_pattern:
             for m in r.org_pattern.finditer(claims.masked):
                 if not inside_constant(claims.text, *m.span()):
@@ -234,9 +287,9 @@ class Scrubber:
             claims.claim(*m.span(), m[0], "kept")
         self._table(claims)
         self._repeats(claims)
-        if self.roster.phone_pattern:
-            for m in self.roster.phone_pattern.finditer(claims.masked):
-                claims.claim(*m.span(), "<phone>", "phone")
+        if self.roster.known_phones:
+            for a, b in self.roster.known_phones.spans(claims.masked):
+                claims.claim(a, b, "<phone>", "phone")
         self._hosts(claims)
         self._usernames(claims)
         for pattern in self.custom:

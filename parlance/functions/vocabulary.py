@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from .normalize import fold, translit
@@ -48,18 +49,98 @@ def _word_forms(word: str, inflect: bool) -> str:
     return f"{re.escape(stem).replace('е', '[её]')}(?:{'|'.join(sorted(endings, key=len, reverse=True))})?"
 
 
-def term_pattern(terms: list[str], inflect: bool = True) -> re.Pattern | None:
-    """One pattern for all terms in every spelling; longer terms first; whole words, `_` and a number after count as bounds."""
-    alternatives = {}
-    for term in terms:
-        folded = fold(term)
-        for spelling in {folded, translit(folded)}:
-            if words := spelling.split():
-                alternatives[r"[ \t_-]{1,2}".join(_word_forms(w, inflect) for w in words)] = len(spelling)
-    if not alternatives:
-        return None
-    body = "|".join(sorted(alternatives, key=lambda a: (-alternatives[a], a)))
-    return re.compile(rf"(?<![^\W_])(?:{body})(?=_|\d+(?!\w)|\W|$)", re.IGNORECASE)
+class Terms:
+    """Finds terms in every spelling, in time that doesn't depend on how many there are.
+
+    A term's forms share their first letters. These lead from a place in the
+    text to the few terms that may stand there, whose pattern is compiled when
+    it is first needed. The longest match at a place counts; whole words only,
+    `_` and a number after count as bounds.
+    """
+
+    _PLACE = re.compile(r"(?<![^\W_])\S")
+
+    def __init__(self, terms: list[str], inflect: bool = True) -> None:
+        forms: dict[str, dict[str, int]] = {}
+        for term in terms:
+            folded = fold(term)
+            for spelling in {folded, translit(folded)}:
+                if words := spelling.split():
+                    # no ending reaches into these letters
+                    size = len(words[0])
+                    head = words[0][: size if size < 4 else min(6, size - 2)]
+                    forms.setdefault(head, {})[r"[ \t_-]{1,2}".join(_word_forms(w, inflect) for w in words)] = len(spelling)
+        self._forms = forms
+        self._compiled: dict[str, re.Pattern] = {}
+        self._sizes = sorted({len(h) for h in forms}, reverse=True)
+
+    def __bool__(self) -> bool:
+        return bool(self._forms)
+
+    def _pattern(self, head: str) -> re.Pattern:
+        found = self._compiled.get(head)
+        if found is None:
+            own = self._forms[head]
+            body = "|".join(sorted(own, key=lambda a: (-own[a], a)))
+            found = self._compiled[head] = re.compile(rf"(?:{body})(?=_|\d+(?!\w)|\W|$)", re.IGNORECASE)
+        return found
+
+    def finditer(self, text: str) -> Iterator[re.Match]:
+        folded = text.lower().replace("ё", "е")
+        if len(folded) != len(text):  # a capital whose small form has two characters
+            folded = "".join(c if len(c) == 1 else "\ue000" for c in map(str.lower, text)).replace("ё", "е")
+        end = 0
+        for place in self._PLACE.finditer(text):
+            at = place.start()
+            if at < end:
+                continue
+            best = None
+            for size in self._sizes:
+                head = folded[at : at + size]
+                if head in self._forms and (m := self._pattern(head).match(text, at)) and (best is None or m.end() > best.end()):
+                    best = m
+            if best:
+                end = best.end()
+                yield best
+
+    def search(self, text: str) -> re.Match | None:
+        return next(self.finditer(text), None)
+
+
+def term_pattern(terms: list[str], inflect: bool = True) -> Terms | None:
+    """A finder of all terms, None without any."""
+    return Terms(terms, inflect) or None
+
+
+class Numbers:
+    """Finds known numbers in any grouping: runs of digits are looked up, at their group borders."""
+
+    _RUN = re.compile(r"\d+(?:[ ().\-\t]{1,3}\d+)*")
+    _GROUP = re.compile(r"\d+")
+
+    def __init__(self, numbers: frozenset[str]) -> None:
+        self.numbers = numbers
+        self.most = max(map(len, numbers), default=0)
+
+    def spans(self, text: str) -> Iterator[tuple[int, int]]:
+        for run in self._RUN.finditer(text):
+            if run.end() - run.start() < 7:
+                continue
+            groups = [m.span() for m in self._GROUP.finditer(text, run.start(), run.end())]
+            at = 0
+            while at < len(groups):
+                digits, best = "", None
+                for k in range(at, len(groups)):
+                    digits += text[slice(*groups[k])]
+                    if len(digits) > self.most:
+                        break
+                    if digits in self.numbers:
+                        best = k
+                if best is None:
+                    at += 1
+                else:
+                    yield groups[at][0], groups[best][1]
+                    at = best + 1
 
 
 def inside_constant(text: str, start: int, end: int) -> bool:
@@ -90,20 +171,36 @@ class Roster:
         put("person_pattern", term_pattern([p for p in self.persons if len(p) >= PERSON_LEAST and fold(p) not in kept]))
         put("org_pattern", term_pattern([o for o in self.organisations if len(o) >= ORG_LEAST and fold(o) not in kept]))
         put("keep_pattern", term_pattern(list(self.keep), inflect=False))
-        numbers = sorted({str(n) for i in self.ids for n in id_forms(i) if len(str(n)) >= 6}, key=lambda s: (-len(s), s))
-        put("id_pattern", re.compile(rf"(?<![\d.,])(?:{'|'.join(numbers)})(?!\d|[.,]\d)") if numbers else None)
-        names = sorted(self.usernames, key=lambda s: (-len(s), s))
-        put("at_pattern", re.compile(rf"@[ ]?(?P<u>{'|'.join(map(re.escape, names))})(?:[а-яё]{{1,3}})?(?![A-Za-z0-9_])", re.IGNORECASE) if names else None)
-        bare = [n for n in names if len(n) >= 8 or "_" in n or any(c.isdigit() for c in n)]
-        put("bare_pattern", re.compile(rf"(?<![A-Za-z0-9@])(?P<u>{'|'.join(map(re.escape, bare))})(?![A-Za-z0-9_])", re.IGNORECASE) if bare else None)
-        put("phone_pattern", _phones(self.phones))
-
-
-def _phones(phones: frozenset[str]) -> re.Pattern | None:
-    forms = {p for p in phones if len(p) >= 7} | {p[1:] for p in phones if len(p) == 11 and p[0] in "78"}
-    if not forms:
-        return None
-    return re.compile("|".join(r"(?<!\d)" + r"[ ().\-\t]{0,3}".join(p) + r"(?!\d)" for p in sorted(forms, key=lambda s: (-len(s), s))))
+        put("id_numbers", frozenset(str(n) for i in self.ids for n in id_forms(i) if len(str(n)) >= 6))
+        put("bare_names", frozenset(n for n in self.usernames if len(n) >= 8 or "_" in n or any(c.isdigit() for c in n)))
+        forms = {p for p in self.phones if len(p) >= 7} | {p[1:] for p in self.phones if len(p) == 11 and p[0] in "78"}
+        put("known_phones", Numbers(frozenset(forms)) if forms else None)
+
+    def id_spans(self, text: str) -> Iterator[tuple[int, int]]:
+        """Places of known ids."""
+        if self.id_numbers:
+            for m in _NUMBER.finditer(text):
+                if m[0] in self.id_numbers:
+                    yield m.span()
+
+    def username_spans(self, text: str) -> Iterator[tuple[int, int, str]]:
+        """Places of known usernames, after `@` with a case ending, or bare where they look like one, and their virtual ids."""
+        if self.usernames:
+            for m in _AT_NAME.finditer(text):
+                if vid := self.usernames.get(m["u"].lower()):
+                    yield *m.span(), vid
+        if self.bare_names:
+            for m in _BARE_NAME.finditer(text):
+                name = m[0].lower()
+                if name not in self.bare_names:
+                    name = name.lstrip("_")
+                if name in self.bare_names and name not in self.keep_folded:
+                    yield m.end() - len(name), m.end(), self.usernames[name]
+
+
+_NUMBER = re.compile(r"(?<![\d.,])\d{6,}(?!\d|[.,]\d)")
+_AT_NAME = re.compile(r"@[ ]?(?P<u>[A-Za-z0-9_]+)(?:[а-яё]{1,3})?(?![A-Za-z0-9_])", re.IGNORECASE)
+_BARE_NAME = re.compile(r"(?<![A-Za-z0-9_@])[A-Za-z0-9_]+(?![A-Za-z0-9_])")
 
 
 def id_forms(value: int) -> set[int]:

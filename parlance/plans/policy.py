@@ -14,10 +14,15 @@ class PolicyError(ValueError):
     """A setting that is unknown or has a wrong value."""
 
 
+#: Sections that a settings file may hold for the chat client, which is no part of this engine.
+OF_THE_CLIENT = frozenset({"telegram", "export"})
 #: Kinds of chats.
 CHAT_KINDS = frozenset({"private", "bot", "group", "supergroup", "channel"})
 
 
+# Names, defaults and order of the settings, which files share.
+
+
 @dataclass(frozen=True)
 class ChatFilter:
     include_types: frozenset[str] = frozenset({"group", "supergroup"})
@@ -45,6 +50,8 @@ class Anonymize:
     keep_terms: tuple[str, ...] = ()
     custom_terms: tuple[str, ...] = ()
     custom_patterns: tuple[str, ...] = ()
+    #: Words of the wallets' list of seed phrases; without them phrases are told by their shape.
+    seed_words: tuple[str, ...] = ()
     scrub_last_names: bool = True
     scrub_chat_titles: bool = True
     keep_bot_messages: bool = True
@@ -63,32 +70,18 @@ class Output:
     turn_merge_seconds: int = 120
 
 
-@dataclass(frozen=True)
-class Export:
-    wait_time: float = 1.0
-    chat_wait: float = 3.0
-    participants_wait: float = 2.0
-    flood_sleep_threshold: int = 3600
-    max_flood_wait: int = 7200
-    max_retries: int = 5
-    flush_every: int = 500
-    takeout: bool = False
-    members_cache_hours: float = 24.0
-
-
 @dataclass(frozen=True)
 class Policy:
     chats: ChatFilter = field(default_factory=ChatFilter)
     staff: Staff = field(default_factory=Staff)
     anonymize: Anonymize = field(default_factory=Anonymize)
     output: Output = field(default_factory=Output)
-    export: Export = field(default_factory=Export)
 
     def public_snapshot(self) -> dict:
         """What may be published of the policy: no ids, names, terms or patterns."""
         a, o = self.anonymize, self.output
         flags = {n: getattr(a, n) for n in ("name_mode", "keep_chat_titles", "keep_service_messages", "url_mode", "scrub_last_names", "scrub_chat_titles", "keep_bot_messages", "keep_file_names", "scrub_domains", "generic_title_share")}
-        sizes = {f"n_{n}": len(getattr(a, n)) for n in ("allow_domains", "keep_terms", "custom_terms", "custom_patterns", "card_bins")}
+        sizes = {f"n_{n}": len(getattr(a, n)) for n in ("allow_domains", "keep_terms", "custom_terms", "custom_patterns", "seed_words", "card_bins")}
         return flags | sizes | {f.name: getattr(o, f.name) for f in fields(o)}
 
 
@@ -155,9 +148,11 @@ def _check(policy: Policy) -> Policy:
 
 
 def from_dict(data: dict) -> Policy:
-    """A policy from nested tables; unknown names are errors."""
+    """A policy from nested tables; unknown names are errors, sections of the chat client are passed over."""
     sections = {f.name: f.default_factory() for f in fields(Policy)}
     for name, table in data.items():
+        if name in OF_THE_CLIENT:
+            continue
         if name not in sections:
             raise _unknown("section", name, list(sections))
         known = {f.name: getattr(sections[name], f.name) for f in fields(sections[name])}

@@ -16,7 +16,7 @@ def test_defaults_and_values():
 
 @pytest.mark.parametrize("data", [
     {"anonymise": {}}, {"anonymize": {"url_mod": "drop"}}, {"anonymize": {"url_mode": "x"}}, {"anonymize": {"keep_chat_titles": 1}}, {"output": {"max_chars": True}}, {"output": {"timezone": "Mars/X"}},
-    {"anonymize": {"custom_patterns": ["a*"]}}, {"anonymize": {"custom_patterns": ["("]}}, {"anonymize": {"card_bins": ["12"]}}, {"anonymize": {"generic_title_share": 0}}, {"chats": {"include_types": ["grop"]}}, {"output": {"episode_gap_hours": 0}}, {"export": {"wait_time": -1}},
+    {"anonymize": {"custom_patterns": ["a*"]}}, {"anonymize": {"custom_patterns": ["("]}}, {"anonymize": {"card_bins": ["12"]}}, {"anonymize": {"generic_title_share": 0}}, {"chats": {"include_types": ["grop"]}}, {"output": {"episode_gap_hours": 0}},
 ])
 def test_errors(data):
     with pytest.raises(PolicyError):
