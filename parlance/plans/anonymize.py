@@ -184,7 +184,10 @@ def anonymize(raw: Raw, policy: Policy, mapping: DataFrame, persist: Callable[[D
     chats = heads.join(chat_vid, "logical").join(messages.chat_stats(out), "chat").join(messages.by_side(out), "chat")
     chats = chats.select(F.col("chat").alias("vid"), (F.col("title") if a.keep_chat_titles else F.col("chat")).alias("title"), "kind", "is_forum", "participant_count", "message_count", "by_side", "episodes", "first_date", "last_date")
     lines = messages.turn_continuation(out.join(users.select(F.col("vid").alias("sender"), "name"), "sender", "left"), ["chat", "episode"], ["seq"], "date", "sender", F.col("reply_to").isNotNull() | F.col("forwarded").isNotNull() | F.col("action").isNotNull(), o.turn_merge_seconds)
-    transcripts = persist(render.render_parts(render.transcript_lines(lines, o), o.max_chars), "transcripts")
+    members = exported.join(logical.select("id", F.col("primary_id").alias("logical")), "id").select("logical", F.explode("participant_ids").alias("sender_id")).join(user_vid, "sender_id").join(chat_vid, "logical")
+    people_of = members.select("chat", F.col("sender").alias("vid")).union(out.where("sender is not null").select("chat", F.col("sender").alias("vid"))).distinct().join(users, "vid")
+    headers = render.chat_headers(chats, people_of, o)
+    transcripts = persist(render.render_parts(render.transcript_lines(lines, o), o, headers), "transcripts")
     clients = judged.where("role not in ('bot', 'support', 'sales', 'other', 'anonymous', 'system')")
     return Dataset(
         messages=out.drop("hits"), episodes=messages.episode_rollup(out), users=users, chats=chats, transcripts=transcripts, mapping=grown, dropped=dropped,

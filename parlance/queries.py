@@ -485,19 +485,33 @@ def json_flatten_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- render and pack -------------------------------------------------------
 
 
-@query(r"""
-    WITH d AS (SELECT doc_id, text, length(text) AS n, substr(text, 1, 900) AS h, right(text, 300) AS t FROM documents),
-    c AS (SELECT doc_id, text, n,
-          CASE WHEN regexp_matches(substr(text, 901, 1), '^[ \t\n\f\r]$') OR NOT regexp_matches(h, '[ \t\n\f\r]') THEN h ELSE regexp_replace(h, '[ \t\n\f\r][^ \t\n\f\r]*$', '') END AS a,
-          CASE WHEN regexp_matches(substr(text, n - 300, 1), '^[ \t\n\f\r]$') OR NOT regexp_matches(t, '[ \t\n\f\r]') THEN t ELSE regexp_replace(t, '^[^ \t\n\f\r]*[ \t\n\f\r]', '') END AS b FROM d)
-    SELECT doc_id, CASE WHEN n > 1200 THEN a || ' [... ' || (n - length(a) - length(b)) || ' chars omitted ...] ' || b ELSE text END AS text FROM c""")
+_SPACE, _SOLID = render.SPACE, render.SOLID
+
+
+def _head_sql(text: str, n: int) -> str:
+    part = f"substr({text}, 1, {n})"
+    return f"regexp_replace(CASE WHEN length({text}) <= {n} OR regexp_matches(substr({text}, {n + 1}, 1), '^{_SPACE}$') OR NOT regexp_matches({part}, '{_SPACE}') THEN {part} ELSE regexp_replace({part}, '{_SOLID}*$', '') END, '{_SPACE}+$', '')"
+
+
+def _shorten_sql(text: str, limit: int) -> str:
+    n = limit // 4
+    part = f"right({text}, {n})"
+    tail = f"regexp_replace(CASE WHEN length({text}) <= {n} OR regexp_matches(substr({text}, length({text}) - {n}, 1), '^{_SPACE}$') OR NOT regexp_matches({part}, '{_SPACE}') THEN {part} ELSE regexp_replace({part}, '^{_SOLID}*', '') END, '^{_SPACE}+', '')"
+    head = _head_sql(text, limit * 3 // 4)
+    return f"CASE WHEN length({text}) > {limit} THEN {head} || chr(10) || '[... ' || (length({text}) - length({head}) - length({tail})) || ' chars omitted ...]' || chr(10) || {tail} ELSE {text} END"
+
+
+def _quote_sql(text: str) -> str:
+    joined = f"array_to_string(list_filter([trim(regexp_replace(x, '{_SPACE}+', ' ', 'g')) FOR x IN regexp_split_to_array({text}, '{render.BREAK}')], lambda x: x <> ''), ' ⏎ ')"
+    return f"CASE WHEN length({joined}) > 60 THEN {_head_sql(joined, 57)} || '...' ELSE {joined} END"
+
+
+@query(f"SELECT doc_id, {_shorten_sql('text', 1200)} AS text FROM documents")
 def shorten_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "documents").select("doc_id", render.shorten(F.col("text"), 1200).alias("text"))
 
 
-@query(r"""
-    WITH q AS (SELECT conv_id, turn, array_to_string(list_filter([trim(regexp_replace(x, '[ \t\n\f\r]+', ' ', 'g')) FOR x IN string_split(text, chr(10))], lambda x: x <> ''), ' ⏎ ') AS q FROM conversations)
-    SELECT conv_id, turn, CASE WHEN length(q) > 60 THEN rtrim(substr(q, 1, 57)) || '...' ELSE q END AS quote FROM q""")
+@query(f"SELECT conv_id, turn, {_quote_sql('text')} AS quote FROM conversations")
 def quote_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "conversations").select("conv_id", "turn", render.quote(F.col("text")).alias("quote"))
 
@@ -513,14 +527,44 @@ def chunk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.pack_chunks(d, ["doc_id"], "n_chars", 10_000, shards=["source"]).select("doc_id", "source", "chunk")
 
 
-@query()
+#: A message every minute from the start of 2024, an episode every 20 turns; users speak as clients, others as staff.
+_TRANSCRIPT_SQL = f"""{_DROPPED_SQL}, m AS (
+        SELECT conv_id AS chat, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS seq, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(turn) AS at, turn // 20 + 1 AS episode,
+               CASE WHEN turn % 7 > 0 THEN 'U' || (10000 + turn % 2) END AS sender, CASE WHEN turn % 2 = 0 THEN 'client' ELSE 'support' END AS role, CASE WHEN turn % 2 = 0 THEN 'CLIENT' ELSE 'STAFF' END AS side,
+               CASE WHEN turn % 2 = 0 THEN 'Ann' ELSE '' END AS name, text, turn % 5 = 4 AS code, CASE WHEN turn % 6 = 5 THEN 'pinned' END AS action, CASE WHEN turn % 4 = 3 THEN 'U10009' END AS forwarded,
+               CASE WHEN turn % 3 = 2 THEN '[photo]' END AS media FROM c WHERE drop_reason IS NULL),
+    r AS (SELECT m.*, t.seq AS reply_to, coalesce(t.sender, 'SYSTEM') AS who, {_quote_sql("t.text")} AS q FROM m LEFT JOIN m t ON m.chat = t.chat AND m.turn % 3 = 1 AND t.turn = m.turn - 1),
+    p AS (SELECT r.*, coalesce(sender = lag(sender) OVER w AND epoch_us(at) - epoch_us(lag(at) OVER w) <= 120000000 AND reply_to IS NULL AND forwarded IS NULL AND action IS NULL, false) AS continues,
+                 coalesce(nullif(concat_ws(' ', media, nullif({_shorten_sql(f"regexp_replace(text, '^{_SPACE}+|{_SPACE}+$', '', 'g')", 2000)}, '')), ''), '[empty]') AS body
+          FROM r WINDOW w AS (PARTITION BY chat, episode ORDER BY seq)),
+    l AS (SELECT p.*, concat_ws(' ', CASE WHEN continues THEN '    #' || seq ELSE '[' || strftime(at, '%Y-%m-%d %H:%M') || '] #' || seq || ' ' || CASE WHEN sender IS NULL THEN 'SYSTEM' ELSE concat_ws(' ', side, sender, nullif(name, ''), CASE WHEN role <> 'client' THEN '(' || role || ')' END) END END,
+                 CASE WHEN reply_to IS NOT NULL THEN concat_ws(' ', '↳#' || reply_to, who, CASE WHEN q <> '' THEN '"' || q || '"' END) END, '(forwarded from ' || forwarded || ')') AS lead FROM p),
+    lines AS (SELECT chat, episode, seq, at, CASE WHEN action IS NOT NULL THEN lead || ': [' || action || ']' WHEN code AND (contains(body, chr(10)) OR length(body) > 80) THEN lead || ':' || chr(10) || '```' || chr(10) || body || chr(10) || '```'
+              ELSE lead || ': ' || replace(body, chr(10), chr(10) || '    ') END AS line FROM l)"""
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("id")
+    m = _sequenced(spark, sf_dir).withColumn("reply_to_id", F.when(k % 3 == 1, k - 1))
+    rows = messages.relink_replies(m.withColumn("date", F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp")) + k * 60)))
+    rows = rows.withColumn("episode", F.floor(k / 20) + 1).withColumn("sender", F.when(k % 7 > 0, F.concat(F.lit("U"), (k % 2 + 10000).cast("string")))).withColumn("role", F.when(k % 2 == 0, "client").otherwise("support")).withColumn("side", messages.side_of(F.col("role")))
+    rows = rows.withColumn("name", F.when(k % 2 == 0, "Ann").otherwise("")).withColumn("code", k % 5 == 4).withColumn("action", F.when(k % 6 == 5, "pinned")).withColumn("forwarded", F.when(k % 4 == 3, "U10009")).withColumn("media_label", F.when(k % 3 == 2, "[photo]"))
+    rows = messages.turn_continuation(rows, ["chat", "episode"], ["seq"], "date", "sender", F.col("reply_to").isNotNull() | F.col("forwarded").isNotNull() | F.col("action").isNotNull())
+    return render.transcript_lines(rows, Output())
+
+
+@query(f"{_TRANSCRIPT_SQL} SELECT chat, seq, line FROM lines")
+def transcript_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select("chat", "seq", "line")
+
+
+@query(f"""{_TRANSCRIPT_SQL},
+    t AS (SELECT chat, episode, '## Episode ' || episode || ' - ' || strftime(min(at), '%Y-%m-%d %H:%M') || ' .. ' || strftime(max(at), CASE WHEN min(at)::DATE = max(at)::DATE THEN '%H:%M' ELSE '%Y-%m-%d %H:%M' END) || ' (' || count(*) || ' messages)' AS title,
+                 string_agg(line, chr(10) ORDER BY seq) AS block FROM lines GROUP BY chat, episode)
+    SELECT chat, 1 AS part, '# ' || chat || chr(10) || chr(10) || string_agg(title || chr(10) || chr(10) || block || chr(10) || chr(10), '' ORDER BY episode) AS text FROM t GROUP BY chat""")
 def transcript_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = messages.relink_replies(_sequenced(spark, sf_dir))
-    base = F.lit("2024-01-01 00:00:00").cast("timestamp")
-    rows = m.withColumn("date", F.timestamp_seconds(F.unix_timestamp(base) + F.col("id") * 60)).withColumn("episode", F.lit(1)).withColumn("sender", F.concat(F.lit("U"), F.col("role"))).withColumn("name", F.lit(""))
-    rows = rows.withColumn("media_label", F.lit(None).cast("string")).withColumn("forwarded", F.lit(None).cast("string")).withColumn("action", F.lit(None).cast("string"))
-    rows = messages.turn_continuation(rows, ["chat", "episode"], ["seq"], "date", "sender", F.col("reply_to").isNotNull())
-    return render.render_parts(render.transcript_lines(rows, Output()), 200_000)
+    """Conversations are short, so each is one part; cuts are tested on longer ones."""
+    return render.render_parts(_lines(spark, sf_dir), Output())
 
 
 @query("""

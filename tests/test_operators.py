@@ -94,10 +94,14 @@ def test_hot_chat_is_numbered_over_ranges(spark, tmp_path):
 
 
 def test_parts_and_chunks(spark):
-    lines = spark.createDataFrame([("C1", e, e * 100 + i, "x" * 2000) for e in range(1, 4) for i in range(4)], "chat string, episode int, seq int, line string")
-    parts = render.render_parts(lines, 5)
-    sizes = [len(r["text"]) for r in parts.orderBy("part").collect()]
-    assert sum(sizes) == 12 * 2001 and max(sizes) <= 10_000 and len(sizes) == 3
+    rows = [("C1", e, e * 100 + i, "2024-01-01 10:00:00", "x" * 2000) for e in range(1, 4) for i in range(4)] + [("C2", 1, i, "2024-01-01 10:00:00", "y" * 3000) for i in range(7)]
+    lines = spark.createDataFrame(rows, "chat string, episode int, seq int, date string, line string")
+    parts = {(r["chat"], r["part"]): r["text"] for r in render.render_parts(lines, Output(max_chars=5)).collect()}
+    assert sorted(parts) == [("C1", 1), ("C1", 2), ("C1", 3), ("C2", 1), ("C2", 2), ("C2", 3)]
+    assert parts["C1", 2].startswith("# C1 (part 2 of 3)\n\n## Episode 2 - 2024-01-01 10:00 .. 10:00 (4 messages)\n\nxxx") and parts["C1", 2].endswith("x\n\n")
+    assert [parts["C2", i].count("y" * 3000 + "\n") for i in (1, 2, 3)] == [3, 3, 1]  # an episode above the budget, by its messages
+    whole = render.render_parts(lines, Output(max_chars=0)).collect()
+    assert len(whole) == 2 and not any("part" in r["text"].split("\n")[0] for r in whole)
     chunks = render.pack_chunks(spark.createDataFrame([(i, 4000) for i in range(5)], "i int, n int"), ["i"], "n", 10_000)
     assert [r["chunk"] for r in chunks.orderBy("i").collect()] == [1, 1, 2, 2, 3]
     names = spark.createDataFrame([("C12345.part02.md",), ("chunk-001.md",), ("x.md",)], "n string")
@@ -105,12 +109,33 @@ def test_parts_and_chunks(spark):
 
 
 def test_transcript(spark):
-    m = spark.createDataFrame([("C1", 1, 1, "2024-01-01 10:00:00", "U1", "client", "Ann", "hello", None, None, None, None, False), ("C1", 1, 2, "2024-01-01 10:01:00", "U2", "support", "", "hi", 1, "[photo]", None, None, False)],
-                              "chat string, episode int, seq int, date string, sender string, role string, name string, text string, reply_to int, media_label string, forwarded string, action string, continues boolean")
+    schema = "chat string, episode int, seq int, date string, sender string, side string, role string, name string, text string, reply_to int, media_label string, forwarded string, action string, code boolean, continues boolean"
+    day = "2024-01-01 10:0"
+    long = " ".join(["word"] * 20)
+    rows = [
+        ("C1", 1, 1, day + "0:00", "U10001", "CLIENT", "client", "Ann", "  hello \n\n there ", None, None, None, None, False, False),
+        ("C1", 1, 2, day + "1:00", "U10002", "STAFF", "support", "", "hi", 1, "[photo]", None, None, False, False),
+        ("C1", 1, 3, day + "1:09", "U10002", "STAFF", "support", "", "a\nb", None, None, None, None, False, True),
+        ("C1", 1, 4, day + "2:00", "U10003", "STAFF", "anonymous", "Bo", "x\ny", None, None, "U10001", None, True, False),
+        ("C1", 1, 5, day + "3:00", None, "UNKNOWN", "system", None, None, 9, None, None, "pinned", False, False),
+        ("C1", 1, 6, day + "4:00", "U10001", "CLIENT", "client", "Ann", long, None, None, None, None, False, False),
+        ("C1", 1, 7, day + "5:00", "U10001", "CLIENT", "client", "Ann", " ", 6, None, None, None, False, False),
+    ]
+    m = spark.createDataFrame(rows, schema)
     got = [r["line"] for r in render.transcript_lines(m, Output()).orderBy("seq").collect()]
-    assert got == ["10:00 U1 (Ann, client): hello", "10:01 U2 (support): [> hello] [photo] hi"]
-    split = spark.createDataFrame([(got[1],)], "l string").select(render.split_transcript_line(F.col("l")).alias("s")).first()["s"]
-    assert split["head"] == "10:01 U2 (support): " and split["quote"] == "[> hello]" and split["body"] == "[photo] hi"
+    assert got == [
+        "[2024-01-01 10:00] #1 CLIENT U10001 Ann: hello \n    \n     there", '[2024-01-01 10:01] #2 STAFF U10002 (support) ↳#1 U10001 "hello ⏎ there": [photo] hi', "    #3: a\n    b",
+        "[2024-01-01 10:02] #4 STAFF U10003 (anonymous admin) (forwarded from U10001):\n```\nx\ny\n```", "[2024-01-01 10:03] #5 SYSTEM ↳#9: [pinned]", f"[2024-01-01 10:04] #6 CLIENT U10001 Ann: {long}",
+        f'[2024-01-01 10:05] #7 CLIENT U10001 Ann ↳#6 U10001 "{" ".join(["word"] * 11)}...": [empty]',
+    ]
+    split = [tuple(r["s"]) for r in spark.createDataFrame([(x,) for x in (got[1], "    #3: a", "[2024-01-01 10:02] #4 STAFF U10003 (support) (forwarded from U10001): x", "## Episode 1")], "l string").select(render.split_transcript_line(F.col("l")).alias("s")).collect()]
+    assert split == [("[2024-01-01 10:01] #2 STAFF U10002 (support) ↳#1 U10001", "hello ⏎ there", "", "[photo] hi"), ("    #3", "", "", "a"), ("[2024-01-01 10:02] #4 STAFF U10003 (support)", "", "(forwarded from U10001)", "x"), ("", "", "", "## Episode 1")]
+
+
+def test_shorten(spark):
+    text = "alpha beta <url:shop.example.com> gamma delta epsilon"
+    got = spark.createDataFrame([(text,), ("x" * 90,), ("short",)], "t string").select(render.shorten(F.col("t"), 40).alias("s")).collect()
+    assert [r["s"] for r in got] == [f"alpha beta\n[... {len(text) - 17} chars omitted ...]\nepsilon", "x" * 30 + "\n[... 50 chars omitted ...]\n" + "x" * 10, "short"]
 
 
 def test_audit_finds_plants(spark, tmp_path):
