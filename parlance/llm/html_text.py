@@ -328,8 +328,8 @@ def _order(host: str, path: str, doc) -> tuple:
     return host, path, doc is not None, 0 if doc is None else doc
 
 
-def _ranges(keys: DataFrame, owners: int) -> list[tuple[tuple, tuple, tuple | None, tuple | None]]:
-    """Ranges of the sorted keys: first key, and the key after the last; first and last key among the neighbours on either side.
+def _ranges(keys: DataFrame, owners: int) -> list[tuple[tuple, tuple, tuple]]:
+    """Ranges of the sorted keys: the first key among the neighbours before a range, its own first key, the last key among the neighbours after it.
 
     A range gives its outer keys alone, so what reaches the driver is a few
     keys a range, like the bounds of any sort.
@@ -353,7 +353,7 @@ def _ranges(keys: DataFrame, owners: int) -> list[tuple[tuple, tuple, tuple | No
     ends = sorted((_order(r["host"], r["path"], r["id"]), r["part"]) for r in found)
     keys_ = [k for k, _ in ends]
     starts = [i for i, (_, part) in enumerate(ends) if not i or part != ends[i - 1][1]]
-    return [(keys_[max(0, a - AROUND)], keys_[a], keys_[b] if b < len(keys_) else None, keys_[b + AROUND] if b + AROUND < len(keys_) else None) for a, b in zip(starts, [*starts[1:], len(keys_)], strict=bool(starts))]
+    return [(keys_[max(0, a - AROUND)], keys_[a], keys_[min(b + AROUND, len(keys_)) - 1]) for a, b in zip(starts, [*starts[1:], len(keys_)], strict=bool(starts))]
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", partitions: int | None = None) -> DataFrame:
@@ -388,7 +388,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
             own = bisect.bisect_right(starts, key) - 1
             near = [own]
             k = own - 1
-            while k >= 0 and (shared.value[k][3] is None or key < shared.value[k][3]):
+            while k >= 0 and key <= shared.value[k][2]:
                 near.append(k)
                 k -= 1
             k = own + 1
