@@ -33,7 +33,7 @@ class Rule:
 
 
 #: Between a label and its value: punctuation, a filler word, one line break.
-GAP = r"(?:[ \t]{0,3}(?:[:=\-–—#№\"'(\[«>]|is|are|это|был[аио]?|will be|нов(?:ый|ая|ые)|стар(?:ый|ая)|временн(?:ый|ая)|new|old|temporary|=>|->)){0,3}(?:[ \t]{0,3}\n)?[ \t]{0,3}[\"'«(\[]{0,2}"
+GAP = r"(?:[ \t]{0,3}(?:[:=\-–—#№\"'(\[«>]|(?:is|are|это|был[аио]?|will be|нов(?:ый|ая|ые)|стар(?:ый|ая)|временн(?:ый|ая)|new|old|temporary)(?!\w)|=>|->)){0,3}(?:[ \t]{0,3}\n)?[ \t]{0,3}[\"'«(\[]{0,2}"
 _L = r"(?<![^\W_])(?<!</)"
 
 
@@ -92,8 +92,23 @@ _CODE_KIND = re.compile(r"(?:ответ\w*|ошибк\w*|категори\w*|т
 _MEANS = re.compile(r"\s*(?:означа|=|это|—|-|:|\||means|и\s+\d{3,5})", I)
 
 
+#: Characters from which on a run of letters and digits is an identifier of its own.
+LONG_IDENTIFIER = 20
+
+
+def inside_identifier(m: re.Match) -> bool:
+    """Whether the digits are a piece of a longer run of Latin letters and digits, such as a hash."""
+    a, b = span(m)
+    text = m.string
+    before = re.search(r"[A-Za-z0-9]*$", text[max(0, a - 64) : a])[0]
+    after = re.match(r"[A-Za-z0-9]*", text[b : b + 64])[0]
+    return bool(before or after) and len(before) + b - a + len(after) >= LONG_IDENTIFIER
+
+
 def not_reference(m: re.Match) -> bool:
-    """The number isn't an order, ticket or transaction number, unless an owner word stands near."""
+    """The number isn't an order, ticket or transaction number, unless an owner word stands near, and no piece of an identifier."""
+    if inside_identifier(m):
+        return False
     tail = _before(m, 160)
     hit = _REFERENCE.search(tail)
     return not hit or bool(_OWNER.search(tail[max(0, hit.start() - 24) : hit.start()]))
@@ -242,7 +257,7 @@ def phone_ok(m: re.Match) -> bool:
     groups = re.findall(r"\d+", v)
     if len(groups) == 1:
         return False
-    if len(set(map(len, groups))) == 1 and len(groups) > 2 and len(groups[0]) >= 3:
+    if len(set(map(len, groups))) == 1 and len(groups) > 2 and len(groups[0]) >= 3 or list(map(len, groups)) == [3, 3, 3, 2]:
         return False
     return "(" in v or (len(groups) >= 3 and len(groups[-1]) <= 4 and any(c in v for c in "-()"))
 
@@ -473,7 +488,7 @@ FINANCE_RULES = [
     keyword("bank_code", "<bank-code>", r"routing(?: number)?|aba|sort code|bsb|бик|мфо", r"\d[\d -]{3,10}\d", digit_count(5, 9), ("routing", "aba", "sort code", "bsb", "бик", "мфо"), digits=True),
     keyword("bank_account", "<account>", r"account (?:number|no\.?)|bank account|a/c|acct|расч[её]тн\w{2} сч[её]т\w{0,2}|р/с|лицев\w{2} сч[её]т\w{0,2}|номер сч[её]та|корр?\.? ?сч[её]т\w{0,2}|к/с", r"\d[\d -]{5,26}\d", digit_count(7, 20), ("account", "a/c", "acct", "счет", "счёт", "р/с", "к/с"), digits=True),
     keyword("backup_codes", "<otp>", r"backup codes?|recovery codes?|резервн\w{2} код\w{0,2}|коды восстановления", r"[A-Za-z0-9]{4,10}(?:-[A-Za-z0-9]{4,10})?(?:[ ,;\n]{1,2}[A-Za-z0-9]{4,10}(?:-[A-Za-z0-9]{4,10})?){0,15}", has_digit, ("backup", "recovery", "резервн", "восстановлен")),
-    keyword("otp", "<otp>", r"код\w{0,2}(?: подтверждения| из смс)?|кодик|смс[- ]?код|пин из смс|пароль из смс|otp|one[- ]time (?:code|password)|(?:sms|verification|confirm(?:ation)?|3ds|security)[ _-]?code|code", r"\d{4,8}(?![\d.,]?\d)", otp_ok, ("код", "смс", "otp", "code", "one-time", "one time"), digits=True),
+    keyword("otp", "<otp>", r"(?<!пин-)(?<!пин )(?<!pin-)код\w{0,2}(?: подтверждения| из смс)?|кодик|смс[- ]?код|пин из смс|пароль из смс|otp|one[- ]time (?:code|password)|(?:sms|verification|confirm(?:ation)?|3ds|security)[ _-]?code|code", r"\d{4,8}(?![\d.,]?\d)", otp_ok, ("код", "смс", "otp", "code", "one-time", "one time"), digits=True),
     keyword("pin", "<pin>", r"pin(?:[ -]?code)?|пин(?:[ -]?код\w{0,2})?|pinкод", r"\d{4,6}(?!\d)", companion_ok, ("pin", "пин"), digits=True),
     shape("kz_id", "<iin>", r"(?<![\d.])\d{12}(?![\d.]?\d)", kz_ok, digits=True, render=kz_render),
     shape("ua_rnokpp", "<rnokpp>", r"(?<![\d.+])\d{10}(?![\d.]?\d)", checked(ua_rnokpp_ok), digits=True),

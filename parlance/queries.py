@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions import checksums, links
+from .functions import checksums, links, rule_cases
 from .functions.scrub import rule_counts, scan_column, scrub_column
 from .functions.vocabulary import GENERIC, Roster
 from .operators import audit, chats, identity, messages, render
@@ -529,17 +529,17 @@ def chunk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: A message every minute from the start of 2024, an episode every 20 turns; users speak as clients, others as staff.
 _TRANSCRIPT_SQL = f"""{_DROPPED_SQL}, m AS (
-        SELECT conv_id AS chat, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS seq, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(turn) AS at, turn // 20 + 1 AS episode,
+        SELECT conv_id AS chat, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS seq, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(turn) AS moment, turn // 20 + 1 AS episode,
                CASE WHEN turn % 7 > 0 THEN 'U' || (10000 + turn % 2) END AS sender, CASE WHEN turn % 2 = 0 THEN 'client' ELSE 'support' END AS role, CASE WHEN turn % 2 = 0 THEN 'CLIENT' ELSE 'STAFF' END AS side,
                CASE WHEN turn % 2 = 0 THEN 'Ann' ELSE '' END AS name, text, turn % 5 = 4 AS code, CASE WHEN turn % 6 = 5 THEN 'pinned' END AS action, CASE WHEN turn % 4 = 3 THEN 'U10009' END AS forwarded,
                CASE WHEN turn % 3 = 2 THEN '[photo]' END AS media FROM c WHERE drop_reason IS NULL),
     r AS (SELECT m.*, t.seq AS reply_to, coalesce(t.sender, 'SYSTEM') AS who, {_quote_sql("t.text")} AS q FROM m LEFT JOIN m t ON m.chat = t.chat AND m.turn % 3 = 1 AND t.turn = m.turn - 1),
-    p AS (SELECT r.*, coalesce(sender = lag(sender) OVER w AND epoch_us(at) - epoch_us(lag(at) OVER w) <= 120000000 AND reply_to IS NULL AND forwarded IS NULL AND action IS NULL, false) AS continues,
+    p AS (SELECT r.*, coalesce(sender = lag(sender) OVER (PARTITION BY chat, episode ORDER BY seq) AND epoch_us(moment) - epoch_us(lag(moment) OVER (PARTITION BY chat, episode ORDER BY seq)) <= 120000000 AND reply_to IS NULL AND forwarded IS NULL AND action IS NULL, false) AS continues,
                  coalesce(nullif(concat_ws(' ', media, nullif({_shorten_sql(f"regexp_replace(text, '^{_SPACE}+|{_SPACE}+$', '', 'g')", 2000)}, '')), ''), '[empty]') AS body
-          FROM r WINDOW w AS (PARTITION BY chat, episode ORDER BY seq)),
-    l AS (SELECT p.*, concat_ws(' ', CASE WHEN continues THEN '    #' || seq ELSE '[' || strftime(at, '%Y-%m-%d %H:%M') || '] #' || seq || ' ' || CASE WHEN sender IS NULL THEN 'SYSTEM' ELSE concat_ws(' ', side, sender, nullif(name, ''), CASE WHEN role <> 'client' THEN '(' || role || ')' END) END END,
+          FROM r),
+    l AS (SELECT p.*, concat_ws(' ', CASE WHEN continues THEN '    #' || seq ELSE '[' || strftime(moment, '%Y-%m-%d %H:%M') || '] #' || seq || ' ' || CASE WHEN sender IS NULL THEN 'SYSTEM' ELSE concat_ws(' ', side, sender, nullif(name, ''), CASE WHEN role <> 'client' THEN '(' || role || ')' END) END END,
                  CASE WHEN reply_to IS NOT NULL THEN concat_ws(' ', '↳#' || reply_to, who, CASE WHEN q <> '' THEN '"' || q || '"' END) END, '(forwarded from ' || forwarded || ')') AS lead FROM p),
-    lines AS (SELECT chat, episode, seq, at, CASE WHEN action IS NOT NULL THEN lead || ': [' || action || ']' WHEN code AND (contains(body, chr(10)) OR length(body) > 80) THEN lead || ':' || chr(10) || '```' || chr(10) || body || chr(10) || '```'
+    lines AS (SELECT chat, episode, seq, moment, CASE WHEN action IS NOT NULL THEN lead || ': [' || action || ']' WHEN code AND (contains(body, chr(10)) OR length(body) > 80) THEN lead || ':' || chr(10) || '```' || chr(10) || body || chr(10) || '```'
               ELSE lead || ': ' || replace(body, chr(10), chr(10) || '    ') END AS line FROM l)"""
 
 
@@ -559,7 +559,7 @@ def transcript_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{_TRANSCRIPT_SQL},
-    t AS (SELECT chat, episode, '## Episode ' || episode || ' - ' || strftime(min(at), '%Y-%m-%d %H:%M') || ' .. ' || strftime(max(at), CASE WHEN min(at)::DATE = max(at)::DATE THEN '%H:%M' ELSE '%Y-%m-%d %H:%M' END) || ' (' || count(*) || ' messages)' AS title,
+    t AS (SELECT chat, episode, '## Episode ' || episode || ' - ' || strftime(min(moment), '%Y-%m-%d %H:%M') || ' .. ' || CASE WHEN min(moment)::DATE = max(moment)::DATE THEN strftime(max(moment), '%H:%M') ELSE strftime(max(moment), '%Y-%m-%d %H:%M') END || ' (' || count(*) || ' messages)' AS title,
                  string_agg(line, chr(10) ORDER BY seq) AS block FROM lines GROUP BY chat, episode)
     SELECT chat, 1 AS part, '# ' || chat || chr(10) || chr(10) || string_agg(title || chr(10) || chr(10) || block || chr(10) || chr(10), '' ORDER BY episode) AS text FROM t GROUP BY chat""")
 def transcript_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -585,6 +585,31 @@ def code_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "documents").select("doc_id", messages.code_flag(F.col("text"), entities).alias("code"))
 
 
+# ---- the rule table --------------------------------------------------------
+
+
+def _cases(spark: SparkSession, sf_dir: str, rule: str) -> DataFrame:
+    """What the scrubber makes of a rule's cases with every customer's values, what the scanner finds in them, and that it finds nothing after."""
+    values = _read(spark, sf_dir, "customer").selectExpr("c_custkey AS k", *rule_cases.COLUMNS)
+    rows = spread(values.selectExpr("k", f"inline(array({', '.join(f'named_struct({chr(39)}case_id{chr(39)}, {i}, {chr(39)}text{chr(39)}, {raw})' for i, (raw, _, _) in enumerate(rule_cases.as_sql(rule)))}))"))
+    policy = Anonymize(card_bins=rule_cases.BINS)
+    done = rows.select("k", "case_id", scrub_column(F.col("text"), policy)["text"].alias("text"), F.array_join(F.sort_array(F.array_distinct(scan_column(F.col("text"), policy)["kind"])), ",").alias("kinds"))
+    return done.select("k", "case_id", "text", "kinds", F.size(scan_column(F.col("text"), policy)).alias("left_over"))
+
+
+def _rule_query(rule: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _cases(spark, sf_dir, rule)
+
+    run.__name__ = f"rule_{rule}"
+    rows = ", ".join(f"{{'case_id': {i}, 'text': {want}, 'kinds': {kinds}}}" for i, (_, want, kinds) in enumerate(rule_cases.as_sql(rule)))
+    query(f"SELECT k, u.case_id, u.text, u.kinds, 0 AS left_over FROM (SELECT k, unnest([{rows}]) AS u FROM (SELECT c_custkey AS k, {', '.join(rule_cases.COLUMNS)} FROM customer))")(run)
+
+
+for _name in rule_cases.CASES:
+    _rule_query(_name)
+
+
 # ---- identities ------------------------------------------------------------
 
 
