@@ -6,6 +6,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Parts of a class that are searched apart.
+PARTS = 64
+
 
 def fold(doc_id: Column | str, of: int) -> Column:
     """crc32 of the id as text, modulo `of`."""
@@ -22,8 +25,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_char
     """
     spark = docs.sparkSession
     own = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
-    nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(F.col("doc_id"), F.lit(11)), "doc_id"))
-    ids = own.withColumn("nth", nth).where(F.col("nth") <= per_class).select("doc_id", "label").collect()
+    # a class may hold most labelled rows: its first ids are found by parts of it, then among those of all parts
+    own = own.withColumn("turn", F.xxhash64(F.col("doc_id"), F.lit(11))).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(PARTS)))
+    for by in (("label", "part"), ("label",)):
+        own = own.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy("turn", "doc_id"))).where(F.col("nth") <= per_class).drop("nth")
+    own = own.select("doc_id", "label")
+    ids = own.collect()
     if not ids:
         return pa.table({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.string()), "label": pa.array([], own.schema["label"].dataType == "string" and pa.string() or pa.int64())})
     chosen = F.broadcast(spark.createDataFrame(ids, own.schema))
