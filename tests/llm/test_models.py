@@ -100,15 +100,66 @@ def test_lm_tree_learns_contexts(spark):
     assert (got.score > got.base_score + 10).all()
 
 
-def test_lm_probabilities_add_up():
-    vocabulary = np.arange(1, 6, dtype=np.uint64)
-    counts = np.array([400, 300, 150, 100, 50])
-    tree = lm_score.SuffixTree(vocabulary, counts, 1000, 0.0)
-    tree.add_level(np.array([0 * 5 + 1, 0 * 5 + 2, 1 * 5 + 0]), np.array([300, 60, 280]))
-    assert len(tree.levels[0][0]) == 2
-    for context in (0, 1, 3):
-        p = 10 ** tree.predict(np.arange(5), np.full((1, 5), context), np.log10(tree.root))
-        assert abs(p.sum() - 1) < 1e-6
+def _tree_brute(train, texts):
+    """log10 probabilities of the texts and the longest state, by dictionaries."""
+    words = Counter(w for t in train for w in t)
+    total, once = sum(words.values()), sum(n == 1 for n in words.values())
+    discount = min(once / len(words), 0.95)
+    unknown = max(once, 1) / (total + (0 if once else 1))
+    states, entries, weights, depth = {}, {}, {(w,): n for w, n in words.items()}, 0
+
+    def step(p, context, word):
+        if context not in states:
+            return p
+        weight, factor = states[context]
+        n = entries[context].get(word, 0)
+        return (n + lm_score.PRIOR * p) / (weight + lm_score.PRIOR) if n else p * 10**factor
+
+    def chance(context, word):
+        p = max(words[word] - discount, 0.05) / total if word in words else unknown
+        for k in range(1, len(context) + 1):
+            p = step(p, context[-k:], word)
+        return p
+
+    while True:
+        depth += 1
+        grams = {g: n for g, n in Counter(tuple(t[i - depth : i + 1]) for t in train for i in range(depth, len(t))).items() if n >= 2}
+        for g, n in grams.items():
+            if depth == 1 or g[1:-1] in states:
+                entries.setdefault(g[:-1], {})[g[-1]] = n
+        found = {}
+        for context, following in entries.items():
+            if len(context) == depth:
+                parents = {w: chance(context[1:], w) for w in following}
+                sums = [sum(following.values()), sum(parents.values()), sum(n * math.log(n / parents[w]) for w, n in following.items()), len(following)]
+                keep, factor = lm_score.judge(*(np.array([float(x)]) for x in (weights[context], *sums)))
+                if keep[0]:
+                    found[context] = (weights[context], factor[0])
+        if not found:
+            return [sum(math.log10(chance(tuple(t[:i][-depth:]), w)) for i, w in enumerate(t)) for t in texts], depth - 1, chance, words
+        states |= found
+        weights = grams
+
+
+def test_lm_scores_by_brute_force(spark):
+    """Texts whose next word depends on two, three or four before it."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(500):
+        words = [rng.choice("abcd") for _ in range(4)]
+        for _ in range(70):
+            back = rng.choices((0, 1, 2, 3, 4), (2, 8, 5, 4, 3))[0]
+            words.append("abcd"[sum(map(ord, words[-back:])) * (back + 1) % 4 // (1 + back % 2)] if back else rng.choice("abcdxyz"))
+        rows.append((i, " ".join(words)))
+    rows += [(500 + i, rows[7][1]) for i in range(3)] + [(600, None), (601, ""), (602, "never seen a b c")]
+    tokens = [_tokens(t) for _, t in rows]
+    train = [t for (i, _), t in zip(rows, tokens, strict=True) if zlib.crc32(str(i).encode()) % 10]
+    want, depth, chance, words = _tree_brute(train, tokens)
+    assert depth >= 4
+    got = {r["doc_id"]: r["score"] for r in lm_score.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == pytest.approx(x, rel=1e-5) for (i, _), x in zip(rows, want, strict=True))
+    for context in ((), ("a",), ("a", "b"), ("a", "b", "c", "d"), ("never", "a")):
+        assert sum(chance(context, w) for w in words) == pytest.approx(sum(chance((), w) for w in words), abs=0.02)
 
 
 def test_lm_unknown_texts(spark):
