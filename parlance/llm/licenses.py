@@ -100,27 +100,43 @@ def evaluate(rpn: list[str]) -> tuple[set[str], bool]:
     `or` offers a choice, `and` binds both sides, `with` adds an exception to
     the licence on its left.
     """
-    stack: list[tuple[set[str], bool]] = []
+    stack: list[tuple[str | None, bool]] = []  # the label of a bare identifier, and what is left open by choice
+    labels: set[str] = set()
     for t in rpn:
         if t == "with":
             stack.pop()
         elif t in _PRECEDENCE:
-            right, left = stack.pop(), stack.pop()
-            stack.append((left[0] | right[0], left[1] or right[1] if t == "or" else left[1] and right[1]))
+            (right, free), (left, may) = stack.pop(), stack.pop()
+            labels |= {x for x in (left, right) if x is not None}
+            stack.append((None, may or free if t == "or" else may and free))
         else:
             label = family(t)
-            stack.append(({label}, label in PERMISSIVE))
-    return stack[0]
+            stack.append((label, label in PERMISSIVE))
+    return labels | ({stack[0][0]} - {None}), stack[0][1]
 
 
 def _expression(line: str) -> tuple[set[str], bool] | None:
-    """The longest beginning of a tag's line that is an expression."""
+    """The longest beginning of a tag's line that is an expression and isn't cut before an operator; its tokens are read once."""
     tokens = _TOKEN.findall(line)
-    for n in range(len(tokens), 0, -1):
-        rpn = to_rpn(tokens[:n])
-        if rpn and (n == len(tokens) or tokens[n].lower() not in _PRECEDENCE):
-            return evaluate(rpn)
-    return None
+    end, depth, operand = 0, 0, True
+    for n, t in enumerate(tokens):
+        low = t.lower()
+        if low in _PRECEDENCE or t == ")":
+            if operand:
+                break
+            operand = low in _PRECEDENCE
+            depth -= t == ")"
+            if depth < 0:
+                break
+        else:
+            if not operand:
+                break
+            operand = t == "("
+            depth += operand
+        if not operand and not depth and (n + 1 == len(tokens) or tokens[n + 1].lower() not in _PRECEDENCE):
+            end = n + 1
+    rpn = to_rpn(tokens[:end]) if end else None
+    return evaluate(rpn) if rpn else None
 
 
 def automaton() -> ahocorasick.Automaton:

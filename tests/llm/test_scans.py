@@ -309,6 +309,29 @@ def test_html_differencing_by_brute_force(spark):
         assert got == want
 
 
+def _expression_brute(line):
+    tokens = licenses._TOKEN.findall(line)
+    for n in range(len(tokens), 0, -1):
+        rpn = licenses.to_rpn(tokens[:n])
+        if rpn and (n == len(tokens) or tokens[n].lower() not in licenses._PRECEDENCE):
+            return licenses.evaluate(rpn)
+    return None
+
+
+def test_licence_expressions_by_brute_force():
+    rng = random.Random(12)
+    for _ in range(3000):
+        line = " ".join(rng.choice(("MIT", "GPL-2.0", "BSD", "OR", "and", "WITH", "(", ")")) for _ in range(rng.randrange(0, 9)))
+        assert licenses._expression(line) == _expression_brute(line)
+
+
+@pytest.mark.parametrize("part", ["MIT OR ", "( ", "MIT ) ", "MIT and ( ", "MIT MIT ", "or "])
+def test_licence_expressions_take_linear_time(part):
+    began = time.perf_counter()
+    licenses.scan_text("SPDX-License-Identifier: " + part * 100_000, licenses.automaton())
+    assert time.perf_counter() - began < 5
+
+
 def _split(tokens, width, size):
     data = np.array(tokens, dtype=f"<u{width}").tobytes()
     return [data[i : i + size] for i in range(0, len(data), size)]
