@@ -15,6 +15,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     pointers until the trees are flat, and replaces the edges by those that
     still join different roots; at least the larger end of every edge
     disappears in a round, so few rounds are needed whatever the graph's shape.
+    Loops and repeated edges count for nothing, edges with a null end are left
+    out, and an empty table gives no rows.
     """
     live = materialize(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-edges")
     nodes = live.select(F.col("a").alias("node")).union(live.select(F.col("b").alias("node"))).distinct()

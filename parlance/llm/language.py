@@ -30,7 +30,12 @@ def visible_text(page: str | None) -> str:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_label: int = SAMPLE_DOCS, max_chars: int = SAMPLE_CHARS) -> Bayes:
-    """Text likelihoods from a sample of at most `per_label` documents a language of at most `max_chars` characters each."""
+    """Text likelihoods from a sample of at most `per_label` documents a language of at most `max_chars` characters each.
+
+    Rows without id or language teach nothing, null and empty texts little; of
+    rows that repeat an id one is used. Without a labelled row the model knows
+    no language.
+    """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lower(F.trim(lang_col)).alias("lang"))
     known = own.where(F.coalesce("lang", F.lit("")) != "").select("doc_id", F.col("lang").alias("label"))
     return fit_bayes(labelled_sample(own, known, per_label, max_chars))
@@ -53,7 +58,7 @@ def _sums(rows: DataFrame, by: str, k: int) -> DataFrame:
 
 
 def identify(rows: DataFrame, model: Bayes, carry: list[str], text_col: str = "text", declared_col: str = "declared", suffix_col: str = "suffix", host_col: str = "host", site_col: str = "site") -> DataFrame:
-    """The `carry` columns with lang, prob, text_lang, text_prob, declared, suffix and host.
+    """The `carry` columns, but those named like one of the result's own, with lang, prob, text_lang, text_prob, declared, suffix and host.
 
     The text gives each language a bounded log-likelihood. What a declared
     language or an address suffix says is measured: the posteriors that the
@@ -67,7 +72,11 @@ def identify(rows: DataFrame, model: Bayes, carry: list[str], text_col: str = "t
     """
     k, classes = len(model.classes), model.classes
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    names = [*carry, declared_col, suffix_col, host_col, site_col]
+    carried = [f"c{i}" for i in range(len(carry))]
+    evidence_cols = [declared_col, suffix_col, host_col, site_col]
+    rows = rows.select(*(F.col(f"`{c}`").alias(a) for c, a in zip(carry, carried, strict=True)), F.col(f"`{text_col}`").alias("text"), *(F.col(f"`{c}`").alias(a) for c, a in zip(evidence_cols, ("declared", "suffix", "host", "site"), strict=True)))
+    text_col, declared_col, suffix_col, host_col, site_col = "text", "declared", "suffix", "host", "site"
+    names = [*carried, declared_col, suffix_col, host_col, site_col]
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = words(batch.column("text"), ALNUM)
@@ -102,11 +111,17 @@ def identify(rows: DataFrame, model: Bayes, carry: list[str], text_col: str = "t
     langs = F.array(*(F.lit(None if c is None else str(c)).cast("string") for c in classes))
     weight = F.aggregate(F.transform("post", lambda x: F.exp(x - F.col("top"))), F.lit(0.0), lambda a, x: a + x)
     pick = lambda column: F.element_at(langs, F.array_position(column, F.array_max(column)).cast("int"))
-    return out.select(*carry, pick(F.col("post")).alias("lang"), (1 / weight).alias("prob"), pick(F.col("p")).alias("text_lang"), F.array_max("p").alias("text_prob"), F.col(declared_col).alias("declared"), F.col(suffix_col).alias("suffix"), F.col(host_col).alias("host"))
+    own = {"lang", "prob", "text_lang", "text_prob", "declared", "suffix", "host"}
+    return out.select(*(F.col(a).alias(c) for c, a in zip(carry, carried, strict=True) if c not in own), pick(F.col("post")).alias("lang"), (1 / weight).alias("prob"), pick(F.col("p")).alias("text_lang"), F.array_max("p").alias("text_prob"), F.col(declared_col).alias("declared"), F.col(suffix_col).alias("suffix"), F.col(host_col).alias("host"))
 
 
 def page_rows(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Pages as rows of `identify`: id, text, declared, suffix, host, site."""
+    """Pages as rows of `identify`: id, text, declared, suffix, host, site.
+
+    Null html gives an empty text and no declaration, a null or unreadable
+    address no suffix, host and site; repeated rows repeat, an empty table gives
+    no rows; other columns are not read.
+    """
     kind = pages.schema[id_col].dataType.simpleString()
     host = host_of(F.col(url_col))
     labels = F.split(host, r"\.")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .linear import Softmax, fit_softmax
 from .sample import labelled_sample
 from .scratch import materialize
-from .text import ALNUM, map_blocks, words
+from .text import ALNUM, map_blocks, released, words
 
 #: Bound of the training sample: documents a domain, and characters a document.
 SAMPLE_DOCS = 400
@@ -34,7 +34,12 @@ GAIN = 1e-3
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", per_label: int = SAMPLE_DOCS, max_chars: int = SAMPLE_CHARS) -> Softmax:
-    """A classifier of `domain_col` from a sample of at most `per_label` labelled documents a domain of at most `max_chars` characters."""
+    """A classifier of `domain_col` from a sample of at most `per_label` labelled documents a domain of at most `max_chars` characters.
+
+    Rows without id or domain teach nothing; of rows that repeat an id one is
+    used, and of its domains the largest. Null texts count as empty. Without a
+    labelled row the only domain is None.
+    """
     known = labelled.select(F.col(id_col).alias("doc_id"), F.col(domain_col).alias("label"))
     return fit_softmax(labelled_sample(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), known, per_label, max_chars))
 
@@ -80,7 +85,7 @@ def _sums(rows: DataFrame, k: int, steps: list[np.ndarray]) -> tuple[np.ndarray,
             total[-1] += tokens @ (rate - before) ** 2
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["i", "x"])
 
-    got = rows.select("n_tokens", "p").mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+    got = rows.select("n_tokens", "p").mapInArrow(released(run), "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
     out = np.zeros(k + k * k + 1)
     for r in got:
         out[r["i"]] = r["x"]

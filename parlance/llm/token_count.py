@@ -15,15 +15,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .scratch import materialize
-from .text import blocks
+from .text import blocks, released
 
 #: Bytes of a block; any multiple of the id's width will do.
 BLOCK_BYTES = 1 << 18
+#: Blocks that are read from a file in one go, and stores that Arrow reads.
+RANGE_BLOCKS = 64
+ARROW_STORES = frozenset({"file", "hdfs", "s3", "gs", "abfs", "abfss"})
 #: Bytes of text in one stream.
 STREAM_BYTES = 1 << 22
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -80,18 +84,38 @@ def write_streams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if kept:
             yield from close()
 
-    rows = materialize(docs.select(id_col, text_col).mapInArrow(run, f"stream long, at long, id {kind}, data binary"), "token-streams")
+    rows = materialize(docs.select(id_col, text_col).mapInArrow(released(run), f"stream long, at long, id {kind}, data binary"), "token-streams")
     return rows.where("data is not null").select("stream", F.col("at").alias("block"), "data"), rows.where("data is null").select("stream", F.col("at").alias("ordinal"), "id")
 
 
 def read_streams(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks of flat token files: one stream a file, named by its path's hash.
+    """Blocks (stream, block, data) of flat token files: one stream a file, named by its path's hash.
 
-    Files are read whole by Spark and so must be below 2 GB each.
+    Tasks read ranges of RANGE_BLOCKS blocks from the files, of any size,
+    through Arrow's file systems. Files of a store that Arrow doesn't know are
+    read whole by Spark, and must be below 2 GB each. Empty files give nothing.
     """
     files = spark.read.format("binaryFile").load(path)
-    cuts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.length("content") / block_bytes).cast("int") - 1))
-    return files.select(F.xxhash64("path").alias("stream"), "content", F.explode(cuts).alias("b")).select("stream", F.col("b").cast("long").alias("block"), F.expr(f"substring(content, b * {block_bytes} + 1, {block_bytes})").alias("data"))
+    schemes = [r[0] for r in files.select(F.regexp_extract("path", "^([a-z0-9]+):", 1)).distinct().collect()]
+    if not set(schemes) <= ARROW_STORES:
+        cuts = F.sequence(F.lit(0), F.ceil(F.length("content") / block_bytes).cast("int") - 1)
+        whole = files.where("length > 0").select(F.xxhash64("path").alias("stream"), "content", cuts.alias("cuts"))
+        return whole.select("stream", F.posexplode(F.transform("cuts", lambda b: F.substr("content", b * block_bytes + 1, F.lit(block_bytes)))).alias("block", "data")).select("stream", F.col("block").cast("long").alias("block"), "data")
+    span = RANGE_BLOCKS * block_bytes
+    ranges = files.where("length > 0").select(F.xxhash64("path").alias("stream"), "path", F.explode(F.sequence(F.lit(0), F.ceil(F.col("length") / span) - 1)).alias("range"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for stream, name, k in zip(*(batch.column(c).to_pylist() for c in ("stream", "path", "range")), strict=True):
+                store, at = fs.FileSystem.from_uri(name)
+                with store.open_input_file(at) as f:
+                    f.seek(k * span)
+                    for i in range(RANGE_BLOCKS):
+                        if not (data := f.read(block_bytes)):
+                            break
+                        yield pa.RecordBatch.from_arrays([pa.array([stream]), pa.array([k * RANGE_BLOCKS + i]), pa.array([data], pa.binary())], ["stream", "block", "data"])
+
+    return ranges.repartition("stream", "range").mapInArrow(released(read), "stream long, block long, data binary")
 
 
 def count_tokens(blocks_: DataFrame, separator: int = SEPARATOR, width: int = WIDTH) -> DataFrame:
@@ -116,7 +140,7 @@ def count_tokens(blocks_: DataFrame, separator: int = SEPARATOR, width: int = WI
                 lengths.append((np.diff(at) - 1).tolist())
             yield pa.RecordBatch.from_arrays([batch.column("stream"), batch.column("block"), pa.array(ends, pa.int64()), pa.array(head, pa.int64()), pa.array(tail, pa.int64()), pa.array(lengths, pa.list_(pa.int64()))], ["stream", "block", "ends", "head", "tail", "inner"])
 
-    found = materialize(blocks_.select("stream", "block", "data").mapInArrow(search, "stream long, block long, ends long, head long, tail long, inner array<long>"), "token-blocks")
+    found = materialize(blocks_.select("stream", "block", "data").mapInArrow(released(search), "stream long, block long, ends long, head long, tail long, inner array<long>"), "token-blocks")
     # the scan: documents ended before a block, and open tokens since the last block that has an end
     before = Window.partitionBy("stream").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     summary = found.select("stream", "block", "ends", "head", "tail")

@@ -282,7 +282,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A model of the labelled documents whose crc32 of the id is not 1 modulo 3.
 
     It is fitted on a sample of at most `per_label` documents a label of at most
-    `max_chars` characters each.
+    `max_chars` characters each. Rows without id or label teach nothing; of rows
+    that repeat an id one is used, with the largest label; null texts count as
+    empty; without both labels every text scores low.
     """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(fold("doc_id", 3) != 1)
     share = known.where("label is not null").agg(F.avg("label")).first()[0]
@@ -336,7 +338,12 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of `docs` that score below `threshold`, with their columns."""
+    """Rows of `docs` that score below `threshold`, with their columns, whatever these are called.
+
+    Null, empty and word-less texts have the score of a text without toxic
+    tokens; repeated rows are judged alike and all stay or go; a null id makes
+    no difference; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

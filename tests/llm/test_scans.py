@@ -337,6 +337,21 @@ def _split(tokens, width, size):
     return [data[i : i + size] for i in range(0, len(data), size)]
 
 
+def test_flat_files(spark, tmp_path, monkeypatch):
+    """Files that end anywhere in a range of blocks, read in ranges or whole."""
+    rng = random.Random(2)
+    want = []
+    for name in ("a", "b", "c"):
+        tokens = [rng.choice((0, 1, 2)) for _ in range({"a": 0, "b": 64 * 4 * 3, "c": 701}[name])]
+        (tmp_path / name).write_bytes(np.array(tokens, dtype="<u2").tobytes())
+        text = "".join(map(str, tokens)).split("0")
+        want += [len(x) for x in text[: len(text) - (not text[-1])]]
+    for stores in (token_count.ARROW_STORES, frozenset()):
+        monkeypatch.setattr(token_count, "ARROW_STORES", stores)
+        got = token_count.count_tokens(token_count.read_streams(spark, f"file://{tmp_path}", block_bytes=8), separator=0, width=2)
+        assert sorted(r["n_tokens"] for r in got.collect()) == sorted(want)
+
+
 @pytest.mark.parametrize(("width", "size"), [(4, 4), (4, 12), (2, 2), (2, 6), (4, 1 << 20)])
 def test_separator_scan(spark, width, size):
     rng = random.Random(width * size)
