@@ -406,31 +406,37 @@ def luhn_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "d", checksums.luhn(F.col("d")).alias("ok"))
 
 
-@query(f"WITH r AS (SELECT doc_id, unnest(regexp_extract_all(text, '{_RUN13}', 1)) AS d FROM documents) SELECT doc_id, substr(d, 1, 6) || repeat('*', length(d) - 6) AS masked FROM r WHERE {_LUHN_SQL}")
-def cards_masked_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _read(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_RUN13), 1)).alias("d")).where(checksums.luhn(F.col("d")))
-    return r.select("doc_id", F.concat(F.substring("d", 1, 6), F.expr("repeat('*', length(d) - 6)")).alias("masked"))
+#: What the scrubber finds in documents, by rule, with the shape of the surfaces meant; the same shapes as RE2 reads them, and which of them are no values.
+FOUND = {
+    "emails_found": ("email", None, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", "true"),
+    "phones_found": ("phone", None, r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}", "true"),
+    "ipv4_found": ("ipv4", None, r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", "x NOT LIKE '127.%' AND list_max([CAST(o AS INTEGER) FOR o IN string_split(x, '.')]) <= 255"),
+    "token_assign_found": ("env_secret", "^[0-9a-f]{40}$", r"token = .[0-9a-f]{40}", "true"),
+}
 
 
-#: Shapes that RE2 and Java read alike.
-SHAPES = {
-    "emails_found": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "phones_found": r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}",
-    "ipv4_found": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}",
-    "token_assign_found": r"token = .[0-9a-f]{40}",
-}
+def _hits(spark: SparkSession, sf_dir: str, rule: str, policy: Anonymize | None = None) -> DataFrame:
+    """Rows (doc_id, surface, replacement) of what the scrubber replaces by a rule."""
+    found = _texts(spark, sf_dir).select("doc_id", F.explode(scrub_column(F.col("text"), policy)["hits"]).alias("h"))
+    return found.where(F.col("h.rule") == rule).select("doc_id", "h.surface", "h.replacement")
 
 
-def _found(name: str, pattern: str) -> None:
+def _found(name: str, rule: str, shape: str | None, pattern: str, keep: str) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _read(spark, sf_dir, "documents").select("doc_id", F.size(F.regexp_extract_all("text", F.lit(pattern), 0)).alias("n")).where("n > 0")
+        hits = _hits(spark, sf_dir, rule)
+        return (hits.where(F.col("surface").rlike(shape)) if shape else hits).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
     run.__name__ = name
-    query(f"SELECT doc_id, n FROM (SELECT doc_id, CAST(len(regexp_extract_all(text, '{pattern}')) AS INTEGER) AS n FROM documents) WHERE n > 0")(run)
+    query(f"SELECT doc_id, n FROM (SELECT doc_id, len(list_filter(regexp_extract_all(text, '{pattern}'), lambda x: {keep})) AS n FROM documents) WHERE n > 0")(run)
 
 
-for _name, _pattern in SHAPES.items():
-    _found(_name, _pattern)
+for _name, _own in FOUND.items():
+    _found(_name, *_own)
+
+
+@query(f"WITH r AS (SELECT doc_id, unnest(list_filter(regexp_extract_all(text, '[0-9]+'), lambda x: length(x) BETWEEN 13 AND 19)) AS d FROM documents) SELECT doc_id, substr(d, 1, 6) || repeat('*', length(d) - 6) AS masked FROM r WHERE {_LUHN_SQL}")
+def cards_masked_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hits(spark, sf_dir, "card").select("doc_id", F.col("replacement").alias("masked"))
 
 
 # ---- scrub and audit -------------------------------------------------------
@@ -468,10 +474,10 @@ def scrub_with_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", scrub_column(F.col("text"), policy, roster).alias("s")).select("doc_id", F.col("s.text").alias("text"))
 
 
-@query(r"SELECT doc_id, regexp_replace(text, '(?i)licensed under [^.\n]{1,60}', '<redacted>', 'g') AS text FROM documents WHERE regexp_matches(text, '(?i)licensed under [^.\n]{1,60}')")
+@query(r"SELECT doc_id, unnest(regexp_extract_all(text, '(?i)licensed under [^.\n]{1,60}')) AS surface, '<redacted>' AS shown FROM documents")
 def custom_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = r"(?i)licensed under [^.\n]{1,60}"
-    return _read(spark, sf_dir, "documents").where(F.col("text").rlike(p)).select("doc_id", F.regexp_replace("text", p, "<redacted>").alias("text"))
+    policy = Anonymize(custom_patterns=(r"licensed under [^.\n]{1,60}",))
+    return _hits(spark, sf_dir, "custom", policy).select("doc_id", "surface", F.col("replacement").alias("shown"))
 
 
 @query("""SELECT event_id, key AS path, json_extract_string(props, '$.' || key) AS leaf FROM events, unnest(json_keys(props)) AS t(key)
@@ -585,6 +591,32 @@ def code_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "documents").select("doc_id", messages.code_flag(F.col("text"), entities).alias("code"))
 
 
+#: Links of customers that a policy keeps, with a username, an address, an encoded name and a password in them.
+_LINK = "'https://shop.example/c/' || k || '/mara_lind?mail=u' || k || '@example.org&q=%D0%97%D0%B8%D0%BC%D0%B8%D0%BD&password=p' || k || '&page=' || (k % 9)"
+
+
+@query("""SELECT c_custkey AS k, 'see https://shop.example/c/' || c_custkey || '/@U12345?mail=<email>&q=<name>&password=<password>&page=' || (c_custkey % 9) || ' now' AS text, 0 AS left_over FROM customer""")
+def scrub_keep_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    policy, roster = Anonymize(url_mode="keep"), Roster(usernames={"mara_lind": "U12345"}, persons=("Зимин",))
+    raw = _read(spark, sf_dir, "customer").selectExpr("CAST(c_custkey AS STRING) AS k", "c_custkey AS key").selectExpr("key", f"'see ' || {_LINK.replace('k % 9', 'key % 9')} || ' now' AS text")
+    done = spread(raw).select(F.col("key").alias("k"), scrub_column(F.col("text"), policy, roster)["text"].alias("text"))
+    return done.select("k", "text", F.size(scan_column(F.col("text"), policy, roster)).alias("left_over"))
+
+
+#: Twelve words of the wallets' list that a key picks, and a sentence that holds eleven.
+_SEED = "zoo ghost river maple stone cloud ocean tiger flame brick crown lemon".split()
+_PHRASE = " || ' ' || ".join(f"CASE WHEN (k + {i}) % 2 = 0 THEN '{w}' ELSE '{_SEED[(i * 5 + 1) % 12]}' END" for i, w in enumerate(_SEED))
+
+
+@query("""SELECT c_custkey AS k, c, CASE c WHEN 'bare' THEN '<seed-phrase>' WHEN 'listed' THEN 'here ' || c_custkey || ' it is: <seed-phrase>' ELSE 'lemon lemon lemon lemon lemon lemon lemon lemon lemon lemon lemon ' || c_custkey END AS text FROM customer, unnest(['bare', 'listed', 'short']) AS t(c)""")
+def seed_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases without a label, told by shape, and by membership of the list that a policy gives."""
+    rows = _read(spark, sf_dir, "customer").selectExpr("c_custkey AS k").selectExpr("k", f"inline(array(named_struct('c', 'bare', 'raw', {_PHRASE}), named_struct('c', 'listed', 'raw', 'here ' || k || ' it is: ' || {_PHRASE}), named_struct('c', 'short', 'raw', repeat('lemon ', 11) || k)))")
+    shaped, listed = (scrub_column(F.col("raw"), p)["text"] for p in (Anonymize(), Anonymize(seed_words=tuple(_SEED))))
+    rows = spread(rows)
+    return rows.where("c <> 'listed'").select("k", "c", shaped.alias("text")).unionByName(rows.where("c = 'listed'").select("k", "c", listed.alias("text")))
+
+
 # ---- the rule table --------------------------------------------------------
 
 
