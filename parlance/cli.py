@@ -9,7 +9,6 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +19,8 @@ from .sources import schemas, store
 
 
 def _raw(spark: SparkSession, folder: str) -> plan_.Raw:
-    state = json.loads(p.read_text()) if (p := Path(folder, "state.json")).exists() else {}
+    name = f"{folder}/state.json"
+    state = json.loads(spark.read.text(name, wholetext=True).first()[0]) if store.exists(spark, name) else {}
     return plan_.Raw(store.read_messages(spark, f"{folder}/messages"), store.read_objects(spark, f"{folder}/users.json", schemas.USER), store.read_objects(spark, f"{folder}/chats.json", schemas.CHAT), state.get("me_id"))
 
 
@@ -39,8 +39,8 @@ def cmd_chats(spark: SparkSession, args: argparse.Namespace, policy: policies.Po
 
 
 def cmd_anonymize(spark: SparkSession, args: argparse.Namespace, policy: policies.Policy) -> int:
-    old = Path(args.work, "mapping_kept")
-    mapping = spark.read.parquet(str(old)) if old.exists() else spark.createDataFrame([], "kind string, raw_id bigint, vid string")
+    old = f"{args.work}/mapping_kept"
+    mapping = spark.read.parquet(old) if store.exists(spark, old) else spark.createDataFrame([], "kind string, raw_id bigint, vid string")
     made = plan_.anonymize(_raw(spark, args.raw), policy, mapping, _persist(spark, args.work))
     try:
         plan_.checked(made)
@@ -49,20 +49,21 @@ def cmd_anonymize(spark: SparkSession, args: argparse.Namespace, policy: policie
         return 3
     store.write_dataset({"messages": made.messages, "episodes": made.episodes, "users": made.users, "chats": made.chats}, made.transcripts, made.chunks(), made.manifest(), args.out)
     made.mapping.write.mode("overwrite").parquet(f"{old}.new")
-    spark.read.parquet(f"{old}.new").write.mode("overwrite").parquet(str(old))
-    store.write_private_json(Path(args.work, "manifest.json"), made.manifest())
+    store.swap(spark, f"{old}.new", old)
+    store.write_private_json(f"{args.work}/manifest.json", made.manifest(), spark)
+    store.make_private(spark, args.work)
     return 0
 
 
 def cmd_verify(spark: SparkSession, args: argparse.Namespace, policy: policies.Policy) -> int:
     raw = _raw(spark, args.raw)
-    mapping = spark.read.parquet(str(Path(args.work, "mapping_kept")))
+    mapping = spark.read.parquet(f"{args.work}/mapping_kept")
     exported = raw.chats.join(raw.messages.selectExpr("chat_id as id").distinct(), "id", "left_semi")
     roster = plan_.build_roster(raw, mapping, policy, exported)
     leaks = audit.scan_units(audit.file_units(spark, args.out), policy.anonymize, roster)
     counts, rows = audit.leak_report(leaks)
     by_kind = {r["kind"]: r["n"] for r in counts.collect()}
-    store.write_private_json(Path(args.work, "leaks.json"), {"by_kind": by_kind, "rows": [r.asDict() for r in rows.collect()]})
+    store.write_private_json(f"{args.work}/leaks.json", {"by_kind": by_kind, "rows": [r.asDict() for r in rows.collect()]}, spark)
     print(json.dumps(by_kind, sort_keys=True))
     return 4 if by_kind else 0
 

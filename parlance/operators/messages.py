@@ -137,9 +137,10 @@ def by_side(messages: DataFrame) -> DataFrame:
 
 def episode_rollup(messages: DataFrame) -> DataFrame:
     """Per chat and episode: topic of the first message, start and end in seq order, messages, sorted participants, sides."""
-    base = messages.groupBy("chat", "episode").agg(F.min_by("topic", "seq").alias("topic"), F.min_by("date", "seq").alias("start"), F.max_by("date", "seq").alias("end"), F.count(F.lit(1)).alias("messages"), F.sort_array(F.collect_set("sender")).alias("participants"))
-    side = messages.groupBy("chat", "episode", "side").agg(F.count(F.lit(1)).alias("n")).groupBy("chat", "episode").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("side", "n")))).alias("sides"))
-    return base.join(side, ["chat", "episode"])
+    # by side first, then over sides: the rows are read and dealt once
+    per = messages.groupBy("chat", "episode", "side").agg(F.min("seq").alias("a"), F.max("seq").alias("b"), F.min_by("topic", "seq").alias("topic"), F.min_by("date", "seq").alias("start"), F.max_by("date", "seq").alias("end"), F.count(F.lit(1)).alias("n"), F.collect_set("sender").alias("senders"))
+    sides = F.map_from_entries(F.sort_array(F.collect_list(F.struct("side", "n"))))
+    return per.groupBy("chat", "episode").agg(F.min_by("topic", "a").alias("topic"), F.min_by("start", "a").alias("start"), F.max_by("end", "b").alias("end"), F.sum("n").alias("messages"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("senders")))).alias("participants"), sides.alias("sides"))
 
 
 def suspect_staff(messages: DataFrame, sender: str, chat: str, least: int = 3) -> DataFrame:

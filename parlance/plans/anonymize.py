@@ -135,7 +135,7 @@ def anonymize(raw: Raw, policy: Policy, mapping: DataFrame, persist: Callable[[D
     judged = persist(joined.withColumn("drop_reason", reason), "judged")
     dropped = judged.where("drop_reason is not null").groupBy("drop_reason").agg(F.count(F.lit(1)).alias("n"))
 
-    kept = messages.sequence(judged.where("drop_reason is null").withColumnRenamed("primary_id", "logical"), "logical", F.coalesce("is_forum", F.lit(False)))
+    kept = messages.sequence_skewed(judged.where("drop_reason is null").withColumnRenamed("primary_id", "logical"), persist, "logical", F.coalesce("is_forum", F.lit(False)))
     kept = messages.relink_replies(kept)
     kept = messages.episodes(kept.withColumn("topic", F.when(F.col("is_forum"), F.col("topic_id"))), ["logical"], ["seq"], "date", "topic", o.episode_gap_hours)
 

@@ -83,8 +83,51 @@ def fresh_inspections(cache: DataFrame, me_id: int, hours: float, now: Column |
     return cache.where((F.col("me_id") == me_id) & (age <= hours * 3600) & (F.coalesce("error", F.lit("")) == ""))
 
 
-def write_private_json(path: str | Path, value: object) -> None:
-    """A small report that its owner alone can read, in place of the old one at once."""
+def hadoop(spark: SparkSession, path: str | Path):
+    """The file system of a path, on any store that Spark writes to, and the path in its terms."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(str(path))
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str | Path) -> bool:
+    fs, where = hadoop(spark, path)
+    return fs.exists(where)
+
+
+def write_text(spark: SparkSession, path: str, text: str, mode: int | None = None) -> None:
+    """A small file, written aside and renamed."""
+    fs, where = hadoop(spark, path)
+    _, aside = hadoop(spark, f"{path}.new")
+    out = fs.create(aside, True)
+    if mode is not None:
+        fs.setPermission(aside, spark._jvm.org.apache.hadoop.fs.permission.FsPermission(mode))
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(where):
+        fs.delete(where, False)
+    if not fs.rename(aside, where):
+        raise OSError(f"{path} could not be written")
+
+
+def make_private(spark: SparkSession, path: str | Path) -> None:
+    """Takes everybody else's rights from a folder and all below it, as an interrupted run or a copy may have left them."""
+    fs, where = hadoop(spark, path)
+    if not fs.exists(where):
+        return
+    rights = spark._jvm.org.apache.hadoop.fs.permission.FsPermission
+    todo = [fs.getFileStatus(where)]
+    while todo:
+        status = todo.pop()
+        fs.setPermission(status.getPath(), rights(0o700 if status.isDirectory() else 0o600))
+        if status.isDirectory():
+            todo += list(fs.listStatus(status.getPath()))
+
+
+def write_private_json(path: str | Path, value: object, spark: SparkSession | None = None) -> None:
+    """A small report that its owner alone can read, in place of the old one at once; on a shared store through `spark`."""
+    if spark is not None and "://" in str(path):
+        write_text(spark, str(path), json.dumps(value, ensure_ascii=False, indent=1, sort_keys=True), 0o600)
+        return
     path = Path(path)
     path.parent.mkdir(parents=True, exist_ok=True)
     fd, name = tempfile.mkstemp(dir=path.parent)
@@ -129,12 +172,23 @@ def write_dataset(tables: dict[str, DataFrame], transcripts: DataFrame, chunks:
     ordered = chunks.repartition("chunk").sortWithinPartitions("chunk", "chat", "part")
     ordered.select("text", "chunk").write.mode("overwrite").partitionBy("chunk").text(f"{staging}/chunks")
     chunks.select("chunk", "chat", "part", F.length("text").alias("chars")).write.mode("overwrite").json(f"{staging}/index")
-    jvm = spark._jvm
-    target, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     for name, text in (("manifest.json", json.dumps(manifest, ensure_ascii=False, indent=1, sort_keys=True)), ("README.md", README)):
-        out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{staging}/{name}"), True)
-        out.write(bytearray(text.encode()))
-        out.close()
-    fs.delete(target, True)
-    fs.rename(new, target)
+        write_text(spark, f"{staging}/{name}", text)
+    swap(spark, staging, path)
+
+
+def swap(spark: SparkSession, new: str, target: str) -> None:
+    """Puts a folder in another's place. The old one is moved aside first and back if the new one can't be moved."""
+    fs, there = hadoop(spark, target)
+    (_, here), (_, aside) = hadoop(spark, new), hadoop(spark, f"{target}.old")
+    had = fs.exists(there)
+    if had:
+        fs.delete(aside, True)
+        if not fs.rename(there, aside):
+            raise OSError(f"{target} could not be moved aside")
+    if not fs.rename(here, there):
+        if had:
+            fs.rename(aside, there)
+        raise OSError(f"{new} could not be moved to {target}")
+    if had:
+        fs.delete(aside, True)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.messages import dedup_latest
+from ..sources import store
 
 
 def message_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int = 100) -> DataFrame:
@@ -14,35 +18,66 @@ def message_stream(spark: SparkSession, path: str, schema: str, files_per_batch:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
-def merge_batch(table: str, key: list[str], edited: str, sent: str):
+#: Parts of a merged table, by a hash of the key.
+PARTS = 64
+
+
+def _part(key: list[str], parts: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")
+
+
+def _manifests(spark: SparkSession, table: str, before: int | None = None) -> list[tuple[int, dict[str, int]]]:
+    """Versions of a merged table, oldest first: each names, for every part, the version that holds its rows."""
+    fs, root = store.hadoop(spark, f"{table}/versions")
+    if not fs.exists(root):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(root))
+    wanted = [n for n in names if n.endswith(".json") and (before is None or int(n[1:-5]) < before)]
+    return [(int(n[1:-5]), json.loads(spark.read.text(f"{table}/versions/{n}", wholetext=True).first()[0])) for n in wanted[-2:]]
+
+
+def _rows(spark: SparkSession, table: str, held: dict[str, int]) -> DataFrame | None:
+    return spark.read.parquet(*(f"{table}/v{epoch:09d}/__part={part}" for part, epoch in held.items())) if held else None
+
+
+def merge_batch(table: str, key: list[str], edited: str, sent: str, parts: int = PARTS) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function: newest edit of each key, over the table and the batch; a replayed batch changes nothing.
 
-    The table is a folder of versions named by batch; a version is read by its
-    `_SUCCESS` file, so a batch that dies half-way leaves the one before.
+    Rows are dealt to parts by a hash of the key. A batch rewrites the parts
+    that it touches, so its cost follows the batch; a version is a small file
+    that names where each part lies, and is written last, so a batch that dies
+    half-way leaves the version before. Parts that neither the newest version
+    nor the one before it names are deleted.
     """
 
     def run(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        old = latest(spark, table, before=epoch)
-        rows = batch.withColumn("__at", F.lit(epoch).cast("long"))
-        if old is not None:
-            rows = old.withColumn("__at", F.lit(-1).cast("long")).unionByName(rows, allowMissingColumns=True)
-        newest = dedup_latest(rows.withColumn("__line", F.struct(F.col("__at"), F.monotonically_increasing_id())), key, edited, sent, "__line")
-        newest.drop("__at", "__line").write.mode("overwrite").parquet(f"{table}/v{epoch:09d}")
+        earlier = _manifests(spark, table, before=epoch)
+        held = earlier[-1][1] if earlier else {}
+        rows = batch.withColumn("__part", _part(key, parts))
+        touched = sorted(str(r[0]) for r in rows.select("__part").distinct().collect())
+        if touched:
+            rows = rows.withColumn("__at", F.lit(epoch).cast("long"))
+            old = _rows(spark, table, {p: held[p] for p in touched if p in held})
+            if old is not None:
+                rows = old.withColumn("__part", _part(key, parts)).withColumn("__at", F.lit(-1).cast("long")).unionByName(rows, allowMissingColumns=True)
+            newest = dedup_latest(rows.withColumn("__line", F.struct(F.col("__at"), F.monotonically_increasing_id())), key, edited, sent, "__line")
+            newest.drop("__at", "__line").repartition("__part").write.mode("overwrite").partitionBy("__part").parquet(f"{table}/v{epoch:09d}")
+        now = held | dict.fromkeys(touched, epoch)
+        store.write_text(spark, f"{table}/versions/v{epoch:09d}.json", json.dumps(now, sort_keys=True))
+        if len(earlier) > 1:
+            fs, _ = store.hadoop(spark, table)
+            for part, at in earlier[0][1].items():
+                if held.get(part) != at:
+                    fs.delete(store.hadoop(spark, f"{table}/v{at:09d}/__part={part}")[1], True)
 
     return run
 
 
 def latest(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
     """The newest whole version of a merged table."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(root))
-    done = [n for n in names if n.startswith("v") and (before is None or int(n[1:]) < before) and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table}/{n}/_SUCCESS"))]
-    return spark.read.parquet(f"{table}/{done[-1]}") if done else None
+    found = _manifests(spark, table, before)
+    return _rows(spark, table, found[-1][1]) if found else None
 
 
 def start(stream: DataFrame, table: str, checkpoint: str, key: list[str], edited: str, sent: str, available_now: bool = True) -> StreamingQuery:
