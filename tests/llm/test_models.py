@@ -141,8 +141,10 @@ def _tree_brute(train, texts):
         weights = grams
 
 
-def test_lm_scores_by_brute_force(spark):
+@pytest.mark.parametrize("few", [1 << 20, 0])
+def test_lm_scores_by_brute_force(spark, monkeypatch, few):
     """Texts whose next word depends on two, three or four before it."""
+    monkeypatch.setattr(lm_score, "FEW_STATES", few)
     rng = random.Random(5)
     rows = []
     for i in range(500):
