@@ -51,6 +51,7 @@ def cmd_anonymize(spark: SparkSession, args: argparse.Namespace, policy: policie
     made.mapping.write.mode("overwrite").parquet(f"{old}.new")
     store.swap(spark, f"{old}.new", old)
     store.write_private_json(f"{args.work}/manifest.json", made.manifest(), spark)
+    store.write_private_json(f"{args.work}/report.json", made.report(), spark)
     store.make_private(spark, args.work)
     return 0
 

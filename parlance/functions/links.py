@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.policy import Anonymize
@@ -80,3 +80,11 @@ def url_shown(url: Column, mode: str, allow: tuple[str, ...] = ()) -> Column:
         else:
             out = out.when(host == e, host)
     return out.otherwise({"drop": F.lit("<url>"), "domain": F.concat(F.lit("<url:"), host, F.lit(">")), "keep": url}[mode])
+
+
+def domain_counts(messages: DataFrame, top: int = 100) -> DataFrame:
+    """Rows (host, n): the commonest hosts of links in texts and in entities (type, url)."""
+    written = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r'(?i)[a-z][a-z0-9+.-]*://[^\s<>"]+'), 0)
+    behind = F.filter(F.transform(F.coalesce("entities", F.array().cast(messages.schema["entities"].dataType)), lambda e: e["url"]), lambda u: u.isNotNull())
+    hosts = messages.select(F.explode(F.concat(written, behind)).alias("link")).select(url_host(F.col("link")).alias("host")).where("host <> ''")
+    return hosts.groupBy("host").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "host").limit(top)

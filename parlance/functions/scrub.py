@@ -364,6 +364,12 @@ def scan_column(text: Column, policy: Anonymize | None = None, roster: Roster |
     return run.asNondeterministic()(text)
 
 
+def leaks_of_hits(hits: Column) -> Column:
+    """What the scanner reports of a text whose hits the scrubber gave: kinds and surfaces, one of each lower-case surface."""
+    changed = F.filter(hits, lambda h: h["surface"] != h["replacement"])
+    return F.array_distinct(F.transform(changed, lambda h: F.struct(h["rule"].alias("kind"), F.lower(h["surface"]).alias("match"))))
+
+
 def rule_counts(hits: DataFrame, column: str = "hits") -> DataFrame:
     """Number of hits of each rule."""
     return hits.select(F.explode(column).alias("h")).groupBy(F.col("h.rule").alias("rule")).agg(F.count(F.lit(1)).alias("n"))

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normalize import fold
-from ..functions.scrub import Scrubber, rule_counts, scrub_column
+from ..functions.links import domain_counts
+from ..functions.scrub import Scrubber, rule_counts, rule_samples, scrub_column
 from ..functions.vocabulary import Roster
 from ..operators import audit, identity, messages, render
 from .policy import Policy
@@ -43,6 +44,8 @@ class Dataset:
     dropped: DataFrame
     suspects: DataFrame
     hits: DataFrame
+    samples: DataFrame
+    domains: DataFrame
     roster: Roster
     policy: Policy
 
@@ -55,6 +58,13 @@ class Dataset:
             "first_date": m["first"] and m["first"].isoformat() + "Z", "last_date": m["last"] and m["last"].isoformat() + "Z", "transcript_parts": self.transcripts.count(), "policy": self.policy.public_snapshot(),
         }
 
+    def report(self) -> dict:
+        """Private: hits by rule with samples, the commonest hosts, what was dropped, possible staff. A few rows a rule."""
+        by_rule = {r["rule"]: {"hits": r["n"], "samples": []} for r in self.hits.collect()}
+        for r in self.samples.orderBy("rule", "rank").collect():
+            by_rule[r["rule"]]["samples"].append(r["surface"])
+        return {"rules": by_rule, "domains": {r["host"]: r["n"] for r in self.domains.collect()}, "dropped": {r["drop_reason"]: r["n"] for r in self.dropped.collect()}, "suspects": [r["sender_id"] for r in self.suspects.orderBy("sender_id").limit(1000).collect()]}
+
     def chunks(self) -> DataFrame:
         """Rows (chunk, chat, part, text): transcript parts packed in the order of chats."""
         sized = self.transcripts.withColumn("size", F.length("text"))
@@ -191,7 +201,7 @@ def anonymize(raw: Raw, policy: Policy, mapping: DataFrame, persist: Callable[[D
     clients = judged.where("role not in ('bot', 'support', 'sales', 'other', 'anonymous', 'system')")
     return Dataset(
         messages=out.drop("hits"), episodes=messages.episode_rollup(out), users=users, chats=chats, transcripts=transcripts, mapping=grown, dropped=dropped,
-        suspects=messages.suspect_staff(clients, "sender_id", "primary_id"), hits=rule_counts(out), roster=roster, policy=policy,
+        suspects=messages.suspect_staff(clients, "sender_id", "primary_id"), hits=rule_counts(out), samples=rule_samples(out), domains=domain_counts(judged.where("drop_reason is null")), roster=roster, policy=policy,
     )
 
 

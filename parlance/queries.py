@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import checksums, links, rule_cases
-from .functions.scrub import rule_counts, scan_column, scrub_column
+from .functions.scrub import leaks_of_hits, rule_counts, scan_column, scrub_column
 from .functions.vocabulary import GENERIC, Roster
 from .operators import audit, chats, identity, messages, render
 from .plans.parallel import spread
@@ -459,11 +459,22 @@ def scrub_hits_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def leak_scan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leaks by kind before and after scrubbing; after it there are none."""
-    d = _texts(spark, sf_dir)
-    raw = d.select(F.lit("raw").alias("state"), scan_column(F.col("text")).alias("leaks"))
-    clean = d.select(scrub_column(F.col("text")).alias("s")).select(F.lit("scrubbed").alias("state"), scan_column(F.col("s.text")).alias("leaks"))
-    return raw.unionByName(clean).groupBy("state").agg(F.sum(F.size("leaks")).alias("leaks"))
+    """Leaks before and after scrubbing; after it there are none. One pass scrubs a text and scans the result."""
+    done = _texts(spark, sf_dir).select(scrub_column(F.col("text")).alias("s"))
+    per = done.select(F.size(leaks_of_hits(F.col("s.hits"))).alias("raw"), F.size(scan_column(F.col("s.text"))).alias("scrubbed"))
+    sums = per.agg(F.sum("raw").alias("raw"), F.sum("scrubbed").alias("scrubbed"))
+    return sums.selectExpr("stack(2, 'raw', raw, 'scrubbed', scrubbed) AS (state, leaks)")
+
+
+@query(r"""
+    WITH t AS (SELECT url || '.' AS text, url FROM pages),
+    u AS (SELECT unnest(regexp_extract_all(text, '(?i)[a-z][a-z0-9+.-]*://[^\s<>"]+')) AS link FROM t UNION ALL SELECT url FROM t),
+    h AS (SELECT lower(regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@ ]*@)?([^/:?# ]+)', 1)) AS host FROM u)
+    SELECT host, count(*) AS n FROM h WHERE host <> '' GROUP BY host ORDER BY n DESC, host LIMIT 100""")
+def domains_in_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts of links in texts and of links behind words."""
+    p = _read(spark, sf_dir, "pages").select(F.concat("url", F.lit(".")).alias("text"), F.array(F.struct(F.lit("TextUrl").alias("type"), F.col("url"))).alias("entities"))
+    return links.domain_counts(p, 100)
 
 
 @query()

@@ -70,6 +70,8 @@ def test_reports(made):
     names = {r["name"] for r in made.users.collect()}
     assert {"Olga", "Ivan", "Anna", "Deleted"} <= names and not any("Petrov" in n for n in names)
     assert made.hits.where("rule = 'email'").first()["n"] == 1
+    report = made.report()
+    assert report["rules"]["email"]["hits"] == 1 and len(report["rules"]["email"]["samples"]) == 1 and report["dropped"] == {"service": 1, "empty": 1}
     assert "10:00" in made.transcripts.orderBy("chat").first()["text"] or made.transcripts.count() == 2
     plan_.checked(made)
 
@@ -86,6 +88,8 @@ def test_command_line(spark, store_dir, capsys):
     out = store_dir / "out"
     assert {p.name for p in out.iterdir() if not p.name.startswith(".")} == {"messages", "episodes", "users", "chats", "transcripts", "chunks", "index", "manifest.json", "README.md"}
     assert json.loads((out / "manifest.json").read_text())["messages"] == 9
+    assert json.loads((store_dir / "work" / "report.json").read_text())["rules"] and (store_dir / "work").stat().st_mode & 0o077 == 0
+    assert not (store_dir / "out.old").exists() and not (store_dir / "out.staging").exists()
     assert len([p for p in (out / "chunks").iterdir() if p.name.startswith("chunk=")]) == 1
     assert cli.main(["verify", *args[:-1], str(store_dir / "missing.toml")], spark) == 1
     (store_dir / "out" / "extra.jsonl").write_text(json.dumps({"text": "ivan_petrov lives, Petrov too, at Romashka 79161234567"}) + "\n")
