@@ -28,6 +28,10 @@ def _values(k: int) -> dict[str, str]:
     return {c: str(v) for c, v in duckdb.sql(f"SELECT {columns} FROM (SELECT {k}::BIGINT AS k)").df().iloc[0].items()}
 
 
+#: Texts of all rules for one key.
+CASES = [raw for rule in rule_cases.CASES for raw, _, _ in rule_cases.as_texts(rule, _values(42))]
+
+
 @pytest.mark.parametrize("rule", rule_cases.CASES)
 @pytest.mark.parametrize("k", [3, 811])
 def test_rules(rule, k):
