@@ -39,3 +39,10 @@ def discard(df: DataFrame | None) -> None:
         jvm = df.sparkSession._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables of this application in the shared folder; results that read them end with them."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parlance.llm import language, lm_score, mixing, sample, toxicity
+from parlance.llm import language, lm_score, mixing, sample, scratch, toxicity
 from parlance.llm.queries import QUERIES
 
 from .conftest import SPACE, lower, prose
@@ -236,6 +236,30 @@ def test_lm_learns_rare_contexts(spark):
     assert got[held]["held_out"] and got[held]["score"] > got[held]["base_score"] + 12
 
 
+def test_sample_of_a_class_with_most_labels(spark):
+    """The ids of a class are the first by hash, though it is searched by parts."""
+    rows = [(i, f"text {i}", "a" if i % 50 else "b") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    got = sample.labelled_sample(docs, docs, 30, 100).to_pydict()
+    turn = {r[0]: r[1] for r in docs.select("doc_id", F.xxhash64("doc_id", F.lit(11))).collect()}
+    for label in "ab":
+        want = sorted((i for i, _, own in rows if own == label), key=lambda i: (turn[i], i))[:30]
+        assert sorted(i for i, own in zip(got["doc_id"], got["label"], strict=True) if own == label) == sorted(want)
+
+
+def test_tables_are_cleared(spark):
+    """Tables of the shared folder go with `clear`, or one by one."""
+    one = scratch.materialize(spark.range(3), "one")
+    two = scratch.materialize(spark.range(3), "two")
+    scratch.discard(one)
+    assert two.count() == 3
+    scratch.clear(spark)
+    for gone in (one, two):
+        with pytest.raises(Exception, match="(?i)not exist|no such|not found"):
+            gone.count()
+    assert scratch.materialize(spark.range(3), "three").count() == 3
+
+
 def test_sample_has_every_class(spark):
     rows = [(i, f"text {i}", f"l{i % 90:02d}") for i in range(450)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
