@@ -236,6 +236,27 @@ def test_lm_learns_rare_contexts(spark):
     assert got[held]["held_out"] and got[held]["score"] > got[held]["base_score"] + 12
 
 
+def test_mixing_against_an_independent_solver(spark, monkeypatch):
+    """Rates come as near to targets that can be met as many small steps of a plain solver do."""
+    share = (0.6, 0.3, 0.1)
+    rng = np.random.default_rng(6)
+    p, tokens = rng.dirichlet([2.0, 2.0, 0.7], 400), rng.integers(1, 200, 400)
+    rows = spark.createDataFrame([(i, int(t), x.tolist()) for i, (x, t) in enumerate(zip(p, tokens, strict=True))], "id long, n_tokens long, p array<double>")
+    monkeypatch.setattr(mixing, "posteriors", lambda *_: rows)
+    model = mixing.Softmax(list("abc"), np.zeros((1, 3)), np.zeros((7, 3)))
+    got = mixing.mix(rows, model, dict(zip("abc", share, strict=True))).toPandas().sort_values("doc_id")
+    total, goal = tokens.sum(), np.array(share)
+    moments = (p * tokens[:, None]).T @ p / total
+    metric = np.linalg.inv(moments + 1e-4 * np.trace(moments) / 3 * np.eye(3))
+    off = lambda rate: (tokens * rate) @ p / total - goal
+    rate = np.ones(400)
+    for _ in range(4000):
+        rate = np.maximum(rate - 0.5 * (p @ (metric @ off(rate))), 0)
+    mine, best = (x @ metric @ x for x in (off(got.rate.to_numpy()), off(rate)))
+    assert mine <= 1.05 * best + 1e-5
+    assert got.miss.iloc[0] == pytest.approx(np.abs(off(got.rate.to_numpy())).max(), abs=1e-9)
+
+
 def test_sample_of_a_class_with_most_labels(spark):
     """The ids of a class are the first by hash, though it is searched by parts."""
     rows = [(i, f"text {i}", "a" if i % 50 else "b") for i in range(4000)]
