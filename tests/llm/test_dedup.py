@@ -105,7 +105,7 @@ def test_near_edges(odd_docs, no_docs, k):
     assert near_duplicates(no_docs, shingle=k).count() == 0
 
 
-@pytest.mark.parametrize(("seed", "percent", "exact"), [(1, 80, None), (2, 80, None), (3, 80, True), (4, 50, None), (5, 92, None)])
+@pytest.mark.parametrize(("seed", "percent", "exact"), [(1, 80, None), (3, 80, True), (4, 50, None)])
 def test_near_groups(spark, seed, percent, exact):
     """Chains, near copies on both sides of the threshold, short texts, and a large group."""
     rng = random.Random(seed)
