@@ -59,9 +59,12 @@ def cmd_anonymize(spark: SparkSession, args: argparse.Namespace, policy: policie
 def cmd_verify(spark: SparkSession, args: argparse.Namespace, policy: policies.Policy) -> int:
     raw = _raw(spark, args.raw)
     mapping = spark.read.parquet(f"{args.work}/mapping_kept")
+    if raw.messages.isEmpty():
+        print("nothing is known without raw messages", file=sys.stderr)
+        return 2
     exported = raw.chats.join(raw.messages.selectExpr("chat_id as id").distinct(), "id", "left_semi")
     roster = plan_.build_roster(raw, mapping, policy, exported)
-    leaks = audit.scan_units(audit.file_units(spark, args.out), policy.anonymize, roster)
+    leaks = audit.scan_units(audit.file_units(spark, args.out, store.README), policy.anonymize, roster)
     counts, rows = audit.leak_report(leaks)
     by_kind = {r["kind"]: r["n"] for r in counts.collect()}
     store.write_private_json(f"{args.work}/leaks.json", {"by_kind": by_kind, "rows": [r.asDict() for r in rows.collect()]}, spark)

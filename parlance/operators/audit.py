@@ -51,9 +51,11 @@ def json_units(column: Column) -> Column:
     return run.asNondeterministic()(column)
 
 
-def file_units(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (file, location, text) of every file below `path`, by suffix: JSON leaves, JSONL rows, lines of text."""
+def file_units(spark: SparkSession, path: str, own_readme: str = "") -> DataFrame:
+    """Rows (file, location, text) of every file below `path`, by suffix: JSON leaves, JSONL rows, lines of text. A README is passed over only where it is the writer's to the byte."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    if own_readme:
+        files = files.where(~(F.col("path").endswith("/README.md") & (F.col("content") == F.encode(F.lit(own_readme), "UTF-8"))))
     text = F.decode("content", "UTF-8")
     lines = files.select(F.col("path").alias("file"), F.posexplode(F.split(text, "\n")).alias("n", "line")).where("line <> ''")
     rows = lines.where(F.col("file").endswith(".jsonl")).select("file", "n", F.explode(json_units(F.col("line"))).alias("u")).select("file", F.format_string("%d:%s", F.col("n") + 1, F.col("u.path")).alias("location"), F.col("u.text").alias("text"))
@@ -62,11 +64,6 @@ def file_units(spark: SparkSession, path: str) -> DataFrame:
     return rows.unionByName(whole).unionByName(plain)
 
 
-def field_kind(file: Column, location: Column) -> Column:
-    """Vocabulary that a unit is checked against: display names, composed labels or text."""
-    return F.when(file.endswith("users.json") & location.endswith(".name"), "display_name").when(file.rlike(r"(?:chats|manifest|index)\.json$"), "composed").otherwise("text")
-
-
 def scan_units(units: DataFrame, policy: Anonymize | None = None, roster: Roster | None = None) -> DataFrame:
     """Rows (kind, match, location): each distinct text is scanned once and joined back."""
     distinct = units.select("text").where("text <> ''").distinct()

@@ -122,13 +122,15 @@ def contact_names(chats: DataFrame, exported: DataFrame) -> DataFrame:
     return private.where(F.col("title").rlike(r"^(?:\p{Lu}\p{Ll}+)(?: \p{Lu}\p{Ll}+){1,2}$")).select(F.col("title").alias("name")).distinct()
 
 
-def drop_names_of_others(names: dict[int, str], surnames: dict[int, set[str]]) -> dict[int, str]:
-    """Display names with those emptied that spell another user's surname, until nothing changes."""
-    out = dict(names)
-    while True:
-        taken = {s for u, own in surnames.items() for s in own if out.get(u, "") or own}
-        gone = [u for u, n in out.items() if n and any(fold(w) in taken - surnames.get(u, set()) for w in n.split())]
-        if not gone:
-            return out
-        for u in gone:
-            out[u] = ""
+def third_party_ids(messages: DataFrame, users: DataFrame, exported: DataFrame) -> DataFrame:
+    """Rows (id): accounts that messages name in forwards (from_id) and entities (user_id) and that are neither known users nor exported chats."""
+    forwarded = messages.select(F.col("forward.from_id").alias("id"))
+    named = messages.select(F.explode(F.transform("entities", lambda e: e["user_id"])).alias("id"))
+    seen = forwarded.union(named).where("id is not null").distinct()
+    return seen.join(users.select("id"), "id", "left_anti").join(exported.select("id"), "id", "left_anti")
+
+
+def given_name_counts(users: DataFrame, first: str = "first_name") -> DataFrame:
+    """Rows (name, n): how many users have a given name, by its first word in lower case."""
+    word = F.regexp_extract(F.lower(F.translate(F.col(first), "Ёё", "Ее")), r"^\s*(\p{L}[\p{L}'’-]*)", 1)
+    return users.select(word.alias("name")).where("name <> ''").groupBy("name").agg(F.count(F.lit(1)).alias("n"))

@@ -111,8 +111,9 @@ def build_roster(raw: Raw, mapping: DataFrame, policy: Policy, exported: DataFra
     titles = identity.title_terms(exported).select("term") if a.scrub_chat_titles else None
     organisations = {r["term"] for r in _bounded(titles, "title words")} if titles is not None else set()
     known = {fold(p) for p in persons}
+    third = [r["id"] for r in _bounded(identity.third_party_ids(raw.messages, raw.users, exported), "third parties")]
     return Roster(
-        usernames=usernames, ids=frozenset([u["id"] for u in people] + [r["id"] for r in _bounded(exported.select("id"), "chats")]), phones=frozenset("".join(c for c in u["phone"] or "" if c.isdigit()) for u in people) - {""},
+        usernames=usernames, ids=frozenset([u["id"] for u in people] + [r["id"] for r in _bounded(exported.select("id"), "chats")] + third), phones=frozenset("".join(c for c in u["phone"] or "" if c.isdigit()) for u in people) - {""},
         persons=tuple(sorted(persons)) if a.scrub_last_names else (), organisations=tuple(sorted({o for o in organisations if o not in known} | set(a.custom_terms))), keep=a.keep_terms,
     )
 

@@ -628,6 +628,21 @@ def seed_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where("c <> 'listed'").select("k", "c", shaped.alias("text")).unionByName(rows.where("c = 'listed'").select("k", "c", listed.alias("text")))
 
 
+@query("""SELECT DISTINCT id FROM (SELECT user_id * 7 % 5000 AS id FROM events WHERE event_id % 3 = 0 UNION ALL SELECT event_id % 3000 FROM events)
+          WHERE id NOT IN (SELECT c_custkey FROM customer) AND id NOT IN (SELECT s_suppkey + 2000 FROM supplier)""")
+def third_party_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts that events name, without customers and exported suppliers."""
+    e = _read(spark, sf_dir, "events")
+    k = F.col("event_id")
+    rows = e.select(F.when(k % 3 == 0, F.struct((F.col("user_id") * 7 % 5000).alias("from_id"))).alias("forward"), F.array(F.struct((k % 3000).alias("user_id"))).alias("entities"))
+    return identity.third_party_ids(rows, _read(spark, sf_dir, "customer").selectExpr("c_custkey AS id"), _read(spark, sf_dir, "supplier").selectExpr("s_suppkey + 2000 AS id"))
+
+
+@query("SELECT lower(regexp_extract(p_name, '^[ ]*([A-Za-z][A-Za-z''-]*)', 1)) AS name, count(*) AS n FROM part WHERE regexp_matches(p_name, '^[ ]*[A-Za-z]') GROUP BY 1")
+def given_name_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identity.given_name_counts(_read(spark, sf_dir, "part"), "p_name")
+
+
 # ---- the rule table --------------------------------------------------------
 
 

@@ -72,7 +72,6 @@ def test_display_names():
     assert show("Иван Петров") == "Иван" and show("Vasya_Pupkin") == "" and show("Kotik", users=frozenset({"kotik"})) == ""
     assert show("Петров", surnames=frozenset({"петров"})) == "" and show("Anna", "Smith", "full") == "Anna Smith" and show("Anna", mode="none") == ""
     assert identity.is_label("Служба поддержки") and not identity.is_label("Иванов")
-    assert identity.drop_names_of_others({1: "Smith", 2: "Ann"}, {2: {"smith"}}) == {1: "", 2: "Ann"}
 
 
 def test_episode_gap_is_strict(spark):
