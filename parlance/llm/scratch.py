@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Whether Spark deletes a query's shuffle files when it ends, and not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's `spark.checkpoint.dir`; a temporary folder in local mode only."""
@@ -19,14 +22,23 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write `df` as Parquet in the shared folder and return the table read back."""
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, options: dict[str, str] | None = None, free: bool = False) -> DataFrame:
+    """Write `df` as Parquet in the shared folder, under the writer's `options`, and return the table read back; `free`: its shuffle files go at once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    writer = df.write
+    writer = df.write.options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    if free:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        if free and before is None:
+            spark.conf.unset(_CLEANUP)
+        elif free:
+            spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._parlance_path = path
     return out

@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -302,3 +303,25 @@ def test_mixing_goes_on_to_targets(spark, monkeypatch):
     total = (got.rate * got.n_tokens).to_numpy() @ np.stack(got.p.to_list()) / got.n_tokens.sum()
     assert np.abs(total - share / share.sum()).max() < mixing.TOLERANCE
     assert got.miss.iloc[0] == pytest.approx(np.abs(total - share / share.sum()).max(), abs=1e-9)
+
+
+def test_lm_disk(spark, monkeypatch):
+    """Tables and shuffle files of a run stay within a few times the text, however long contexts grow."""
+    rng = random.Random(8)
+    pool = [prose(rng, 1)[:3] + str(rng.randrange(3000)) for _ in range(20_000)]
+    rows = [(i, " ".join(rng.choice(pool[: 10 ** rng.randrange(1, 5)]) for _ in range(400))) for i in range(1500)]
+    rows += [(5000 + i, rows[i][1]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shuffles = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    folders = [scratch.shared_dir(spark).removeprefix("file://"), *shuffles]
+    used = lambda: sum(f.stat().st_size for d in folders for f in Path(d).rglob("*") if f.is_file())
+    before, most, real = used(), [0], lm_score.materialize
+
+    def watched(*args, **options):
+        out = real(*args, **options)
+        most.append(used() - before)
+        return out
+
+    monkeypatch.setattr(lm_score, "materialize", watched)
+    assert lm_score.score_texts(docs).count() == len(rows)
+    assert max(most) < 3 * sum(len(t) for _, t in rows)
