@@ -325,3 +325,21 @@ def test_lm_disk(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "materialize", watched)
     assert lm_score.score_texts(docs).count() == len(rows)
     assert max(most) < 3 * sum(len(t) for _, t in rows)
+
+
+def test_lm_contexts_behind_words_that_are_none(spark, monkeypatch):
+    """"a b c" is a context though "b" is none: what follows "b" need not matter to what follows "b c"."""
+    rng = random.Random(11)
+    common = [f"w{i}" for i in range(17)] + ["a", "b", "c"]
+    rows = [(i, " ".join(rng.choice(common) for _ in range(50))) for i in range(250)]
+    ids = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 10][:22]
+    rows += [(i, "a b c z") for i in ids]
+    tokens = [_tokens(t) for _, t in rows]
+    train = [t for (i, _), t in zip(rows, tokens, strict=True) if zlib.crc32(str(i).encode()) % 10]
+    want, _, chance, words = _tree_brute(train, tokens)
+    assert all(chance(("b",), w) == chance((), w) for w in words) and chance(("a", "b", "c"), "z") > chance(("b", "c"), "z") + 0.1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for often in (lm_score.OFTEN, 40):  # then with contexts that are dealt to several ranges
+        monkeypatch.setattr(lm_score, "OFTEN", often)
+        got = {r["doc_id"]: r["score"] for r in lm_score.score_texts(docs).collect()}
+        assert all(got[i] == pytest.approx(x, rel=1e-5) for (i, _), x in zip(rows, want, strict=True))
