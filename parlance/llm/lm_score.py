@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .sample import fold
 from .scratch import discard, materialize
-from .text import NOT_SPACE, blocks, mix, release, released, segment_sums, text_buffer, words
+from .text import NOT_SPACE, mix, release, released, segment_sums, text_buffer, words
 
 #: Least count of a context, and of a context with its next word, at any size of the corpus.
 LEAST = 2
@@ -81,9 +81,11 @@ def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.arange(len(key), dtype=np.uint64)
     small = len(key) and not int(key.max()) >> (64 - int(bits))
     # the index in the low bits makes one sort of numbers do
-    order = (np.sort((key << bits if small else key >> bits << bits) | at) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    found = key[order]
-    if (found[1:] < found[:-1]).any():  # keys that differ in the low bits alone
+    at |= key << bits if small else key >> bits << bits
+    at.sort()
+    order = (at & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+    found = at >> bits if small else key[order]
+    if not small and (found[1:] < found[:-1]).any():  # keys that differ in the low bits alone
         order = np.argsort(key, kind="stable")
         found = key[order]
     head = np.ones(len(key), dtype=bool)
@@ -106,17 +108,28 @@ def _gram(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _shrink(values: np.ndarray) -> bytes:
-    """Compressed bytes of an array, by planes of bytes of the same weight."""
-    raw = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
-    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+    """Compressed bytes of an array of 32-bit floats, or of integers not below 0, by planes of bytes of the same weight; the highest, where all are 0, are left out."""
+    bits = values.view(np.uint32) if values.dtype.kind == "f" else values
+    width = (int(bits.max()).bit_length() + 7) // 8 if len(bits) else 0
+    planes = np.empty((width, len(bits)), dtype=np.uint8)
+    for k in range(width):
+        np.right_shift(bits, 8 * k, out=planes[k], casting="unsafe")
+    return bytes([width]) + len(bits).to_bytes(8, "little") + (pa.Codec("zstd", 1).compress(planes.reshape(-1), asbytes=True) if width else b"")
 
 
 def _grow(data: pa.Scalar, kind: type) -> np.ndarray:
     """The array that `_shrink` was given."""
     buffer = data.as_buffer()
-    size, width = int.from_bytes(buffer[:8].to_pybytes(), "little"), np.dtype(kind).itemsize
-    raw = np.frombuffer(pa.Codec("zstd").decompress(buffer[8:], size), dtype=np.uint8)
-    return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).reshape(-1)
+    head = buffer[:9].to_pybytes()
+    width, size = head[0], int.from_bytes(head[1:], "little")
+    wide = np.uint32 if kind is np.float32 else kind
+    if not width:
+        return np.zeros(size, dtype=kind)
+    planes = np.frombuffer(pa.Codec("zstd").decompress(buffer[9:], width * size), dtype=np.uint8).reshape(width, size)
+    out = planes[0].astype(wide)
+    for k in range(1, width):
+        out |= planes[k].astype(wide) << wide(8 * k)
+    return out.view(kind)
 
 
 def _plain(data: pa.Scalar, kind: type) -> np.ndarray:
@@ -140,8 +153,8 @@ def _row(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) if isinstance(x, bytes) else x if isinstance(x, pa.Array) else pa.array([x]) for x in columns.values()], list(columns))
 
 
-#: Of a block: keys of its words by frequency, the words, places that are still open, and which of them may follow their context LEAST times, the probabilities of these (before contexts of one word: those of the words), and by row what is known and the scores of the settled places.
-_BLOCK = "first binary, vocab binary, words binary, open binary, twice binary, p binary, known binary, base binary, score binary, n_open long"
+#: Of a block: keys of its words by frequency, the words that can still be read, places that are still open, and which of them may follow their context LEAST times, the probabilities of these (before contexts of one word: those of the words), and by row its tokens, what is known and the scores of the settled places.
+_BLOCK = "first binary, tokens binary, vocab binary, words binary, open binary, twice binary, p binary, known binary, base binary, score binary, n_open long"
 
 
 class Often(NamedTuple):
@@ -162,6 +175,9 @@ def _often(rows: list) -> Often:
 class Asked(NamedTuple):
     """What a block asks at a depth."""
 
+    first: np.ndarray  # by row: its first word
+    word: np.ndarray
+    vocab: np.ndarray
     at: np.ndarray  # open places
     context: np.ndarray  # distinct keys
     which: np.ndarray  # by place: its context
@@ -169,7 +185,7 @@ class Asked(NamedTuple):
     of: np.ndarray  # by such place: its pair
     under: np.ndarray  # by pair: its context
     following: np.ndarray  # by pair: key of the next word
-    p: np.ndarray  # by place
+    p: np.ndarray  # by such place
     train: np.ndarray  # by place
     messages: list[tuple[int, np.ndarray, np.ndarray, bool]]  # range, contexts, pairs, whether the rest of the contexts' places is counted in it
 
@@ -184,9 +200,11 @@ def _open(block: dict, depth: int, bits: int, often: Often) -> Asked:
     flags = np.unpackbits(_grow(block["open"], np.uint8), count=len(word)).astype(bool)
     at = np.flatnonzero(flags)
     twice = np.unpackbits(_grow(block["twice"], np.uint8), count=len(at)).astype(bool)
-    p, own = np.ones(len(at), dtype=np.float32), _grow(block["p"], np.float32)
-    p[twice] = own[word[at[twice]]] if depth == 1 else own
+    next_ = word[at[twice]]
+    p = _grow(block["p"], np.float32)
+    short = vocab >> SPARED
     if depth == 1:
+        p = p[next_]
         # keys of words: sort the few, not the many
         present = np.zeros(len(vocab), dtype=bool)
         present[word[at - 1]] = True
@@ -198,10 +216,11 @@ def _open(block: dict, depth: int, bits: int, often: Often) -> Asked:
     else:
         key = vocab[word[at - depth]]
         for back in range(depth - 1, 0, -1):
-            key = _gram(key, vocab[word[at - back]] >> SPARED)
+            key = _gram(key, short[word[at - back]])
         context, _, which = _grouped(key)
-    pair, head, of = _grouped(which[twice].astype(np.uint64) * np.uint64(len(vocab)) + word[at[twice]])
-    under, following = which[twice][head].astype(np.int64), vocab[word[at[twice]][head]] >> SPARED
+    pair, _, of = _grouped(which[twice].astype(np.uint64) * np.uint64(len(vocab)) + next_)
+    under = (pair // np.uint64(max(1, len(vocab)))).astype(np.int64)
+    following = short[pair.view(np.int64) - under * len(vocab)]
 
     hot = _find(often.key, context)
     bounds = _ranges(context, bits)
@@ -220,7 +239,7 @@ def _open(block: dict, depth: int, bits: int, often: Often) -> Asked:
             own, ones = own[hot[own] < 0], ones[hot[under[ones]] < 0]
         if len(own):
             messages.append((int(part), own, ones, True))
-    return Asked(at, context, which, twice, of, under, following, p, _places(first, block["held_out"].as_py())[at], messages)
+    return Asked(first, word, vocab, at, context, which, twice, of, under, following, p, _places(first, block["held_out"].as_py())[at], messages)
 
 
 def _ask(depth: int, bits: int, often: Often) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -233,17 +252,20 @@ def _ask(depth: int, bits: int, often: Often) -> Callable[[Iterator[pa.RecordBat
                 n = np.bincount(x.of[x.train[x.twice]], minlength=len(x.under)).astype(np.uint32)
                 rest = np.bincount(x.which[~x.twice & x.train], minlength=len(x.context)).astype(np.uint32)
                 p = np.zeros(len(x.under), dtype=np.float32)
-                p[x.of] = x.p[x.twice]
+                p[x.of] = x.p
                 bytes_ = np.ascontiguousarray(x.following.view(np.uint8).reshape(-1, 8)[:, :6])
                 for turn, (part, own, ones, whole) in enumerate(x.messages):
                     size = np.diff(np.searchsorted(x.under[ones], np.append(own, own[-1] + 1))).astype(np.uint32) if len(own) > 1 else np.array([len(ones)], dtype=np.uint32)
-                    yield _row(part=pa.array([part], pa.int32()), block=block["block"].as_py(), turn=pa.array([turn], pa.int32()), contexts=x.context[own].tobytes(), sizes=_shrink(size), rest=_shrink(rest[own] if whole else np.zeros(len(own), dtype=np.uint32)), following=bytes_[ones].tobytes(), counts=_shrink(n[ones]), p=_shrink(p[ones]))
+                    numbers = np.concatenate([size, rest[own] if whole else np.zeros(len(own), dtype=np.uint32), n[ones]])
+                    yield _row(part=pa.array([part], pa.int32()), block=block["block"].as_py(), turn=pa.array([turn], pa.int32()), contexts=x.context[own].tobytes(), following=bytes_[ones].tobytes(), numbers=_shrink(numbers), p=_shrink(p[ones]))
 
     return released(run)
 
 
-_ASKED = "part int, block long, turn int, contexts binary, sizes binary, rest binary, following binary, counts binary, p binary"
-_ANSWERED = "block long, turn int, factor binary, weight binary, counts binary, often binary, stats binary, grown binary, sizes binary"
+#: `numbers`: by context how many pairs it has and the rest of its places, by pair its places.
+_ASKED = "part int, block long, turn int, contexts binary, following binary, numbers binary, p binary"
+#: `numbers`: by context its weight, by pair its count.
+_ANSWERED = "block long, turn int, factor binary, numbers binary, often binary, stats binary, grown binary, sizes binary"
 
 
 def _sums(which: np.ndarray, n: np.ndarray, p: np.ndarray, kinds: int) -> np.ndarray:
@@ -266,15 +288,16 @@ def _answer(often: Often) -> Callable[[pa.Table], pa.Table]:
     def run(asked: pa.Table) -> pa.Table:
         columns = {c: asked.column(c) for c in asked.column_names}
         contexts = [_plain(x, np.uint64) for x in columns["contexts"]]
-        sizes = [_grow(x, np.uint32).astype(np.int64) for x in columns["sizes"]]
+        numbers = [np.split(_grow(x, np.uint32), [len(c), 2 * len(c)]) for c, x in zip(contexts, columns["numbers"], strict=True)]
+        sizes = [x[0].astype(np.int64) for x in numbers]
         context, _, which = _grouped(np.concatenate(contexts))
-        weight = np.bincount(which, weights=np.concatenate([_grow(x, np.uint32) for x in columns["rest"]]), minlength=len(context)).astype(np.int64)
+        weight = np.bincount(which, weights=np.concatenate([x[1] for x in numbers]), minlength=len(context)).astype(np.int64)
         raw = np.concatenate([_plain(x, np.uint8).reshape(-1, 6) for x in columns["following"]])
         wide = np.zeros((len(raw), 8), dtype=np.uint8)
         wide[:, :6] = raw
         under = np.repeat(which, np.concatenate(sizes))
         pair, head, of = _grouped(_gram(context[under], wide.view(np.uint64).reshape(-1)))
-        n = np.bincount(of, weights=np.concatenate([_grow(x, np.uint32) for x in columns["counts"]]), minlength=len(pair)).astype(np.int64)
+        n = np.bincount(of, weights=np.concatenate([x[2] for x in numbers]), minlength=len(pair)).astype(np.int64)
         p = np.concatenate([_grow(x, np.float32) for x in columns["p"]])[head].astype(float)
         under = under[head]
         weight += np.bincount(under, weights=n, minlength=len(context)).astype(np.int64)
@@ -284,14 +307,13 @@ def _answer(often: Often) -> Callable[[pa.Table], pa.Table]:
         dealt = _find(often.key, context) >= 0
         factor[dealt] = np.nan
         weights = np.where(np.isnan(factor), 0, weight)
-        out: dict[str, list] = {c: [] for c in ("factor", "weight", "counts")}
+        out: dict[str, list] = {c: [] for c in ("factor", "numbers")}
         at = np.cumsum([0, *(len(x) for x in contexts)])
         pairs = np.cumsum([0, *(int(x.sum()) for x in sizes)])
         for i in range(asked.num_rows):
             mine = which[at[i] : at[i + 1]]
             out["factor"].append(_shrink(factor[mine]))
-            out["weight"].append(_shrink(weights[mine]))
-            out["counts"].append(_shrink(n[of[pairs[i] : pairs[i + 1]]]))
+            out["numbers"].append(_shrink(np.concatenate([weights[mine], n[of[pairs[i] : pairs[i + 1]]]])))
         blank = [b""] * (asked.num_rows - 1)
         grown = n > OFTEN
         extra = {"often": context[dealt].tobytes(), "stats": np.vstack([weight[dealt], sums[:, dealt]]).astype(float).T.tobytes(), "grown": pair[grown].tobytes(), "sizes": n[grown].tobytes()}
@@ -300,7 +322,7 @@ def _answer(often: Often) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _settle(block: dict, depth: int, first: np.ndarray, at: np.ndarray, p: np.ndarray, state: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, dict]:
+def _settle(block: dict, word: np.ndarray, vocab: np.ndarray, depth: int, first: np.ndarray, at: np.ndarray, p: np.ndarray, state: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, dict]:
     """Which of the places `at` keep a probability for contexts of one word more than `depth` (at depth 0: words), and columns of the block after that.
 
     `p` are probabilities after contexts of `depth` words, `state` says which of
@@ -308,46 +330,59 @@ def _settle(block: dict, depth: int, first: np.ndarray, at: np.ndarray, p: np.nd
     behind a state, unless the longer context occurs once. Where the next word
     occurs once after the context, only factors are to come: its probability
     goes to the score and is 1 from there on. Words that neither
-    these places nor longer contexts can read become the words 0 and 1, of which
-    1 stands for a word that is not in training.
+    these places nor longer contexts can read become the word 0, and all but the
+    first in a row of such words go.
     """
-    size = int(first[-1])
-    begins = np.repeat(first[:-1], np.diff(first))
-    times = np.full(size + 1, LEAST, dtype=np.int64)  # where not counted, it may occur often; the last is before no place
-    times[at] = n
-    word, vocab = _grow(block["words"], np.uint32), _plain(block["vocab"], np.uint64)
-    on = state & (at - begins[at] > depth) & (times[at - 1] >= LEAST)
+    size = len(word)
+    often = n >= LEAST
+    repeated = np.ones(size + 1, dtype=bool)  # where not counted, it may occur often; the last is before no place
+    repeated[at] = often
+    deep = np.ones(size, dtype=bool)  # whether a row has `depth` words before a place, and then one more
+    for back in range(depth):
+        deep[(first[:-1] + back)[first[:-1] + back < first[1:]]] = False
+    begin = deep & repeated[:-1]  # ends a gram that may occur again
+    deep[(first[:-1] + depth)[first[:-1] + depth < first[1:]]] = False
+    on = state & deep[at] & repeated[at - 1]
     if depth:  # behind a word that is left out, longer contexts occur once
-        on &= word[np.maximum(at - depth - 1, 0)] > 1
-    value = np.zeros(size)
-    stays = on & (n >= LEAST)
-    value[at[~stays]] = np.log10(p[~stays])
+        on &= word[np.maximum(at - depth - 1, 0)] > 0
+    stays = on & often
     flags = np.zeros(size, dtype=bool)
-    flags[at[on]] = True
+    flags[at] = on
+    settled = np.flatnonzero(~stays)
+    score = segment_sums(np.log10(p[settled]), np.searchsorted(at[settled], first))
 
     read = np.zeros(size, dtype=bool)
-    ends = np.flatnonzero((np.arange(size) - begins >= depth) & (times[:-1] >= LEAST))
-    read[ends - depth] = True  # begins a gram that may occur again
+    read[: max(0, size - depth)] = begin[depth:]
     for back in range(1, depth + 2):
-        read[at[on] - back] = True
+        read[: max(0, size - back)] |= flags[back:]
     if depth:  # what has been left out before stays so
-        read &= word > 1
+        read &= word > 0
     # contexts grow to the left without a gap: of a run of words, those up to the last before a place that goes on
-    joined = np.zeros(size, dtype=bool)
-    joined[1:] = read[:-1]
-    joined[first[:-1]] = False
-    run = np.cumsum(read & ~joined)
-    last = np.full(size + 1, -1)
-    last[run[at[on] - 1]] = at[on] - 1
-    read &= np.arange(size) <= last[run]
-    read[at[stays]] = True
+    edge = np.zeros(size + 1, dtype=bool)
+    edge[first] = True
+    starts = np.flatnonzero(read & (edge[:-1] | ~np.append(False, read[:-1])))
+    ends = np.flatnonzero(read & (edge[1:] | ~np.append(read[1:], False))) + 1
+    places = np.flatnonzero(flags)
+    last = np.append(places, 0)[np.searchsorted(places, ends, side="right") - 1]  # the run's end may be such a place
+    cuts = np.maximum(last, starts)
+    some = cuts < ends
+    turns = np.zeros(size + 1, dtype=np.int8)
+    turns[cuts[some]] = 1
+    turns[ends[some]] -= 1
+    read &= np.cumsum(turns[:-1], dtype=np.int8) == 0
+    stay = np.zeros(size, dtype=bool)
+    stay[at] = stays
+    read |= stay
+    kept = read | flags
+    kept[1:] |= read[:-1]
+
     used = np.zeros(len(vocab), dtype=bool)
     used[word[read]] = True
     name = np.zeros(len(vocab), dtype=np.uint32)
-    name[used] = np.arange(2, 2 + used.sum(), dtype=np.uint32)
-    rest = (word == 1) if depth else (n == 0)
-    columns = {"open": _shrink(np.packbits(flags)), "twice": _shrink(np.packbits(stays[on])), "score": (_plain(block["score"], np.float64) + segment_sums(value, first)).tobytes(), "n_open": int(on.sum())}
-    columns |= {"words": _shrink(np.where(read, name[word], rest.astype(np.uint32))), "vocab": np.concatenate([np.zeros(2, dtype=np.uint64), vocab[used]]).tobytes()}
+    name[used] = np.arange(1, 1 + used.sum(), dtype=np.uint32)
+    rows = np.searchsorted(np.flatnonzero(kept), first)
+    columns = {"first": _shrink(rows), "open": _shrink(np.packbits(flags[kept])), "twice": _shrink(np.packbits(stays[on])), "score": (_plain(block["score"], np.float64) + score).tobytes(), "n_open": int(on.sum())}
+    columns |= {"words": _shrink(np.where(read[kept], name[word[kept]], np.uint32(0))), "vocab": np.concatenate([np.zeros(1, dtype=np.uint64), vocab[used]]).tobytes()}
     return (stays if depth else used), columns
 
 
@@ -364,12 +399,9 @@ def judge(weight: np.ndarray, seen: np.ndarray, seen_parent: np.ndarray, gain: n
     return keep, np.log10(left / rest_parent)
 
 
-def step(parent: np.ndarray, state: np.ndarray, weight: np.ndarray, factor: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Probabilities after a context, from those after its suffix; a count under LEAST is no own next word."""
-    own = np.where(count >= LEAST, (count + PRIOR * parent) / (weight + PRIOR), parent * 10 ** np.where(state, factor, 0.0))
-    return np.where(state, own, parent)
-
-
+def step(parent: np.ndarray, scale: np.ndarray, weight: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Probabilities after a context, from those after its suffix; a count under LEAST is no own next word. Of a context that is no state, the factor `scale` is 1 and the weight 0."""
+    return np.where((count >= LEAST) & (weight > 0), (count + PRIOR * parent) / (weight + PRIOR), parent * scale)
 
 
 def _often_judged(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -402,8 +434,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = TaskContext.get().partitionId() << 32
         for batch in batches:
-            size = len(text_buffer(batch.column(text_col))[0])
-            for a, b in blocks(batch.column(text_col), -(-size // max(1, -(-size // SCORED_BYTES)))):
+            data, offsets = text_buffer(batch.column(text_col))
+            size = len(data)
+            share = max(1, -(-size // SCORED_BYTES))
+            bounds = np.unique(np.append(np.searchsorted(offsets, np.arange(share) * (size / share)), batch.num_rows))
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 own = batch.slice(a, b - a)
                 key, first = _sequence(own.column(text_col))
                 vocab, _, word = _grouped(key)
@@ -413,7 +448,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 place[order] = np.arange(len(vocab), dtype=np.uint32)
                 lists = {c: pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), pa.concat_arrays([own.column(x)])) for c, x in (("ids", id_col), ("held_out", "held_out"))}
                 zero = np.zeros(b - a).tobytes()
-                yield _row(block=name, **lists, first=_shrink(first), vocab=vocab[order].tobytes(), words=_shrink(place[word]), open=b"", twice=b"", p=b"", known=zero, base=zero, score=zero, n_open=len(key))
+                yield _row(block=name, **lists, first=_shrink(first), tokens=_shrink(np.diff(first)), vocab=vocab[order].tobytes(), words=_shrink(place[word]), open=b"", twice=b"", p=b"", known=zero, base=zero, score=zero, n_open=len(key))
                 name += 1
 
     source = docs.select(F.col(id_col), F.col(text_col), (fold(id_col, held_out_of) == 0).alias("held_out"))
@@ -467,28 +502,33 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         first, vocab, word = _grow(block["first"], np.int64), _plain(block["vocab"], np.uint64), _grow(block["words"], np.uint32)
         count = np.empty(len(vocab), dtype=np.int64)
         count[np.argsort(vocab)] = np.concatenate([_grow(x, np.int64) for x in got.sort_by("turn").column("counts")])
-        n, at = count[word], np.arange(len(word))
+        n, at, p = count[word], np.arange(len(word)), chance(count)
         base = segment_sums(np.log10(n + 0.1), first) - np.diff(first) * np.log10(log_rest)
-        used, columns = _settle(block, 0, first, at, chance(n), np.ones(len(at), dtype=bool), n)
-        return carried(own, **columns, p=_shrink(chance(np.append([1, 0], count[used])).astype(np.float32)), known=segment_sums((n > 0).astype(np.int64), first).tobytes(), base=base.tobytes())
+        used, columns = _settle(block, word, vocab, 0, first, at, p[word], np.ones(len(at), dtype=bool), n)
+        return carried(own, **columns, p=_shrink(np.append(1, p[used]).astype(np.float32)), known=segment_sums((n > 0).astype(np.int64), first).tobytes(), base=base.tobytes())
 
     def carry_on(depth: int, often: Often, judged: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Callable[[pa.Table, pa.Table], pa.Table]:
         def run(own: pa.Table, got: pa.Table) -> pa.Table:
             block = {c: own.column(c)[0] for c in names}
-            first = _grow(block["first"], np.int64)
+            if not block["n_open"].as_py():
+                return carried(own)
             x = _open(block, depth, bits, often)
             factor, weight, count = np.full(len(x.context), np.nan, dtype=np.float32), np.zeros(len(x.context), dtype=np.int64), np.zeros(len(x.under), dtype=np.int64)
             turns = got.column("turn").to_pylist()
             for i, turn in enumerate(turns):
                 _, own_, ones, _ = x.messages[turn]
-                factor[own_], weight[own_], count[ones] = (_grow(got.column(c)[i], t) for c, t in (("factor", np.float32), ("weight", np.int64), ("counts", np.int64)))
+                factor[own_] = _grow(got.column("factor")[i], np.float32)
+                weight[own_], count[ones] = np.split(_grow(got.column("numbers")[i], np.int64), [len(own_)])
             dealt = _find(judged[0], x.context)
             factor[dealt >= 0], weight[dealt >= 0] = judged[1][dealt[dealt >= 0]], judged[2][dealt[dealt >= 0]]
+            state = ~np.isnan(factor)
+            weight[~state] = 0
+            scale = np.exp(np.where(state, factor, 0) * np.log(10))
             n = np.zeros(len(x.at), dtype=np.int64)
             n[x.twice] = count[x.of]
-            f = factor[x.which].astype(float)
-            p = step(x.p.astype(float), ~np.isnan(f), weight[x.which], f, n)
-            stays, columns = _settle(block, depth, first, x.at, p, ~np.isnan(f), n)
+            p = scale[x.which]  # where the next word occurs once, its probability has gone to the score
+            p[x.twice] = step(x.p.astype(float), p[x.twice], weight[x.which[x.twice]], n[x.twice])
+            stays, columns = _settle(block, x.word, x.vocab, depth, x.first, x.at, p, state[x.which], n)
             return carried(own, **columns, p=_shrink(p[stays].astype(np.float32)))
 
         return run
@@ -512,10 +552,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                n = np.diff(_grow(batch.column("first")[i], np.int64))
+                n = _grow(batch.column("tokens")[i], np.int64)
                 known, base, score = (pa.array(_plain(batch.column(c)[i], t)) for c, t in (("known", np.int64), ("base", np.float64), ("score", np.float64)))
                 columns = {"id": batch.column("ids")[i].values, "held_out": batch.column("held_out")[i].values, "n_tokens": pa.array(n), "n_known": known, "train_tokens": pa.array(np.full(len(n), total, dtype=np.int64)), "base_score": base, "score": score}
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays([x]) for x in columns.values()], list(columns))
 
-    out = state.select("ids", "held_out", "first", "known", "base", "score").mapInArrow(give, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = state.select("ids", "held_out", "tokens", "known", "base", "score").mapInArrow(give, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("id", id_col)

@@ -7,6 +7,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -343,3 +344,26 @@ def test_lm_contexts_behind_words_that_are_none(spark, monkeypatch):
         monkeypatch.setattr(lm_score, "OFTEN", often)
         got = {r["doc_id"]: r["score"] for r in lm_score.score_texts(docs).collect()}
         assert all(got[i] == pytest.approx(x, rel=1e-5) for (i, _), x in zip(rows, want, strict=True))
+
+
+def test_lm_blocks_shrink(spark, monkeypatch):
+    """Texts are dealt evenly to blocks without a small last one, and words that no open place can read leave them."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice("abcd") + rng.choice(["", *map(str, range(20))]) for _ in range(300))) for i in range(120)]
+    size = sum(len(t) for _, t in rows)
+    blocks, real = [], lm_score.materialize
+
+    def watched(df, name, *args, **options):
+        out = real(df, name, *args, **options)
+        if name == "lm-blocks":
+            blocks.append([(len(lm_score._grow(pa.scalar(bytes(r["words"]), pa.binary()), np.uint32)), r["n_open"]) for r in out.select("words", "n_open").collect()])
+        return out
+
+    monkeypatch.setattr(lm_score, "materialize", watched)
+    monkeypatch.setattr(lm_score, "SCORED_BYTES", size // 3 + 1)
+    got = lm_score.score_texts(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert got.agg(F.sum("n_tokens")).first()[0] == 120 * 301
+    assert len(blocks[0]) == 3 and all(abs(n - 40 * 301) <= 2 * 301 for n, _ in blocks[0])
+    left = [sum(n for n, _ in x) for x in blocks]
+    assert all(b <= a for a, b in zip(left, left[1:], strict=False)) and left[-1] == 0
+    assert all((n > 0) == (o > 0) for x in blocks for n, o in x)
