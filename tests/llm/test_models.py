@@ -367,3 +367,17 @@ def test_lm_blocks_shrink(spark, monkeypatch):
     left = [sum(n for n, _ in x) for x in blocks]
     assert all(b <= a for a, b in zip(left, left[1:], strict=False)) and left[-1] == 0
     assert all((n > 0) == (o > 0) for x in blocks for n, o in x)
+
+
+def test_lm_sums_however_dealt():
+    """The sums that judge a context are the same to the last bit, however its next words are dealt or ordered."""
+    rng = np.random.default_rng(13)
+    for kinds in (50, 20_000):
+        n = rng.zipf(1.2, kinds) % 1_000_000 + 2
+        p = rng.dirichlet(np.full(kinds, 0.3)).astype(np.float32).astype(float) + 1e-9
+        sums = lambda own: lm_score._sums(np.zeros(len(n[own]), dtype=np.int64), n[own], p[own], 1)  # noqa: E731,B023
+        whole = sums(np.arange(kinds))
+        assert whole[2:-1].sum() == pytest.approx((n * np.log(n / p)).sum(), rel=1e-9) and whole[1] == pytest.approx(p.sum(), rel=1e-9)
+        for spread in (2, 3, 7):
+            assert (whole == sum(sums(np.arange(turn, kinds, spread)) for turn in range(spread))).all()
+        assert (whole == sums(np.arange(kinds)[::-1])).all()
