@@ -38,13 +38,15 @@ LEAST = 2
 #: Occurrences by which a state is smoothed towards its suffix.
 PRIOR = 10.0
 #: Training bytes a range of keys.
-RANGE_BYTES = 1 << 23
+RANGE_BYTES = 1 << 24
 #: Bytes of text that ask and are scored together.
 SCORED_BYTES = 1 << 23
 #: Occurrences of a context a range that it is dealt to.
 OFTEN = 1 << 21
 #: Nothing reads it any more: the states never travel as a list. A test sets it, and results must not depend on it.
 FEW_STATES = 1 << 20
+#: Messages of a block that are sent together.
+SENT = 32
 END = np.uint64(0x8F3A5C2B71D4E690)
 #: Bits of a next word's key that don't travel: two next words of a context are taken for one about once in 2**48 pairs.
 SPARED = np.uint64(16)
@@ -254,14 +256,27 @@ def _ask(depth: int, bits: int, often: Often) -> Callable[[Iterator[pa.RecordBat
                 p = np.zeros(len(x.under), dtype=np.float32)
                 p[x.of] = x.p
                 bytes_ = np.ascontiguousarray(x.following.view(np.uint8).reshape(-1, 8)[:, :6])
+                rows: list[tuple] = []
                 for turn, (part, own, ones, whole) in enumerate(x.messages):
                     size = np.diff(np.searchsorted(x.under[ones], np.append(own, own[-1] + 1))).astype(np.uint32) if len(own) > 1 else np.array([len(ones)], dtype=np.uint32)
                     numbers = np.concatenate([size, rest[own] if whole else np.zeros(len(own), dtype=np.uint32), n[ones]])
-                    yield _row(part=pa.array([part], pa.int32()), block=block["block"].as_py(), turn=pa.array([turn], pa.int32()), contexts=x.context[own].tobytes(), following=bytes_[ones].tobytes(), numbers=_shrink(numbers), p=_shrink(p[ones]))
+                    rows.append((part, block["block"].as_py(), turn, x.context[own].tobytes(), bytes_[ones].tobytes(), _shrink(numbers), _shrink(p[ones])))
+                    if len(rows) == SENT:
+                        yield _batch(rows)
+                        rows = []
+                if rows:
+                    yield _batch(rows)
 
     return released(run)
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of `_ASKED`."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    names, types = zip(*(x.split() for x in _ASKED.split(", ")), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(x, kinds[t]) for x, t in zip(zip(*rows, strict=True), types, strict=True)], list(names))
+
+
 #: `numbers`: by context how many pairs it has and the rest of its places, by pair its places.
 _ASKED = "part int, block long, turn int, contexts binary, following binary, numbers binary, p binary"
 #: `numbers`: by context its weight, by pair its count.

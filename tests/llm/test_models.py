@@ -381,3 +381,22 @@ def test_lm_sums_however_dealt():
         for spread in (2, 3, 7):
             assert (whole == sum(sums(np.arange(turn, kinds, spread)) for turn in range(spread))).all()
         assert (whole == sums(np.arange(kinds)[::-1])).all()
+
+
+def test_lm_messages_go_together(spark, monkeypatch):
+    """A block sends its messages in few batches, as their number grows with ranges and blocks."""
+    rng = random.Random(14)
+    rows = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(100))) for i in range(100)]
+    tables, real = [], lm_score.materialize
+
+    def watched(df, name, *args, **options):
+        out = real(df, name, *args, **options)
+        if name == "lm-blocks" and len(tables) < 2:  # cut, then with the counts of words
+            tables.append(out.toArrow())
+        return out
+
+    monkeypatch.setattr(lm_score, "materialize", watched)
+    lm_score.score_texts(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).count()
+    sent = list(lm_score._ask(1, 6, lm_score._often([]))(iter(tables[1].to_batches())))
+    assert sum(x.num_rows for x in sent) > 50 and len(sent) <= 3
+    assert sorted(p for x in sent for p in x.column("part").to_pylist()) == sorted({p for x in sent for p in x.column("part").to_pylist()})
