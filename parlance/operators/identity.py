@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import secrets
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,8 @@ from ..functions.scrub import Scrubber
 from ..functions.vocabulary import title_tokens
 
 DIGITS = 5
+#: Most digits of an id; buckets in which rows are numbered; rounds of the permutation that draws ids.
+DIGITS_MOST, BUCKETS, ROUNDS = 9, 4096, 8
 
 
 class MappingError(RuntimeError):
@@ -30,25 +33,61 @@ def check_mapping(mapping: DataFrame) -> DataFrame:
     return mapping
 
 
+def _numbered(rows: DataFrame, column: str) -> DataFrame:
+    """`rows` with a dense number i from 0 by a hash of `column`, whose values differ: hash buckets are numbered one by one."""
+    placed = rows.withColumn("__hash", F.xxhash64(column)).withColumn("__bucket", F.pmod("__hash", F.lit(BUCKETS)))
+    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n")).select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    own = placed.withColumn("__own", F.row_number().over(Window.partitionBy("__bucket").orderBy("__hash", column)))
+    return own.join(F.broadcast(starts), "__bucket").withColumn("i", F.col("__start") + F.col("__own") - 1).drop("__hash", "__bucket", "__own", "__start")
+
+
+def _drawn(i: Column, digits: int, keys: list[str]) -> Column:
+    """The i-th number of `digits` digits in an order that secret `keys` draw: a Feistel permutation of their 9 x 10^(digits - 1) numbers."""
+    half = (digits - 1) // 2
+    a, b = 3 * 10**half, 3 * 10 ** (digits - 1 - half)
+
+    def mix(s: Column, key: Column) -> Column:
+        noise = F.conv(F.substring(F.sha2(F.concat(key, s["y"].cast("string")), 256), 1, 15), 16, 10).cast("bigint")
+        return F.struct(s["y"].alias("x"), F.pmod(s["x"] + noise, s["m"]).alias("y"), s["n"].alias("m"), s["m"].alias("n"))
+
+    start = F.struct(F.floor(i / b).cast("bigint").alias("x"), F.pmod(i, F.lit(b)).cast("bigint").alias("y"), F.lit(a).cast("bigint").alias("m"), F.lit(b).cast("bigint").alias("n"))
+    end = F.aggregate(F.array(*map(F.lit, keys)), start, mix)
+    return 10 ** (digits - 1) + end["x"] * b + end["y"]
+
+
 def allocate_ids(mapping: DataFrame, raw: DataFrame, kind: str, digits: int = DIGITS) -> DataFrame:
     """The map with a random unused id for every `raw` (raw_id) of `kind` that it lacks.
 
-    Ids keep one width and say nothing of the order in which they were given;
-    they are drawn, so the result must be written before it is used.
+    Ids keep one width and say nothing of the order in which they were given.
+    The width is fixed when the first ids are given: `digits`, or where these
+    can't hold them, as many as leave room for as many again. An id is the next
+    of a permutation whose keys are secret, so nothing as large as the space of
+    ids is sorted. Keys differ from call to call: write the result before it is
+    used together with another.
     """
     own = mapping.where(F.col("kind") == kind)
+    new = raw.select("raw_id").where("raw_id is not null").distinct().join(own, "raw_id", "left_anti")
+    need = new.count()
     if (wide := own.agg(F.max(F.length("vid") - 1)).first()[0]) is not None:
         digits = wide
-    new = raw.select("raw_id").where("raw_id is not null").distinct().join(own, "raw_id", "left_anti")
-    low, high = 10 ** (digits - 1), 10**digits
-    free = mapping.sparkSession.range(low, high).select(F.concat(F.lit(kind), F.col("id").cast("string")).alias("vid")).join(own, "vid", "left_anti")
-    need, have = new.count(), high - low - own.count()
+    elif need > 9 * 10 ** (digits - 1):
+        while digits < DIGITS_MOST and 2 * need > 9 * 10 ** (digits - 1):
+            digits += 1
+    taken = own.where(F.length("vid") == digits + 1).select("vid").distinct()
+    used = taken.count() if wide is not None else 0
+    have = 9 * 10 ** (digits - 1) - used
     if need > have:
         raise MappingError(f"{need} ids are needed and {have} of {digits} digits are left")
-    # both sides are numbered; `need` is at most the number of ids of that width
-    numbered = new.withColumn("i", F.row_number().over(Window.orderBy(F.xxhash64("raw_id"))))
-    drawn = free.withColumn("r", F.rand()).orderBy("r").limit(need).withColumn("i", F.row_number().over(Window.orderBy("r")))
-    given = numbered.join(drawn, "i").select(F.lit(kind).alias("kind"), "raw_id", "vid")
+    keys = [secrets.token_hex(16) for _ in range(ROUNDS)]
+    vid = lambda i: F.concat(F.lit(kind), _drawn(i, digits, keys).cast("string"))
+    numbered = _numbered(new, "raw_id")
+    if used:
+        # of the first numbers in that order, as many as are needed are free
+        free = mapping.sparkSession.range(need + used).select(vid(F.col("id")).alias("vid")).join(taken, "vid", "left_anti")
+        given = numbered.join(_numbered(free, "vid"), "i").select(F.lit(kind).alias("kind"), "raw_id", "vid")
+    else:
+        given = numbered.select(F.lit(kind).alias("kind"), "raw_id", vid(F.col("i")).alias("vid"))
     return mapping.select("kind", "raw_id", "vid").unionByName(given)
 
 

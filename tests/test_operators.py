@@ -66,6 +66,17 @@ def test_id_allocation(spark):
         identity.check_mapping(spark.createDataFrame([("U", 1, "U12345"), ("U", 2, "U12345")], "kind string, raw_id long, vid string"))
 
 
+def test_ids_that_outgrow_the_width(spark):
+    """A new map takes a width that holds its ids; what it has given stays, and what is given later is new and no wider."""
+    empty = spark.createDataFrame([], "kind string, raw_id bigint, vid string")
+    one = identity.allocate_ids(empty, spark.range(200).withColumnRenamed("id", "raw_id"), "U", digits=2)
+    rows = one.collect()
+    assert len(rows) == 200 and len({r["vid"] for r in rows}) == 200 and all(len(r["vid"]) == 4 for r in rows)
+    assert [r["vid"] for r in sorted(rows, key=lambda r: r["raw_id"])] != sorted(r["vid"] for r in rows)
+    more = identity.allocate_ids(spark.createDataFrame(rows, one.schema), spark.range(900).withColumnRenamed("id", "raw_id"), "U").collect()
+    assert {tuple(r) for r in rows} <= {tuple(r) for r in more} and {r["vid"] for r in more} == {f"U{n}" for n in range(100, 1000)}
+
+
 def test_display_names():
     s, none = Scrubber(), frozenset()
     show = lambda first, last=None, mode="first", users=none, surnames=none: identity.display_name(first, last, mode, users, surnames, s)
