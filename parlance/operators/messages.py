@@ -149,9 +149,10 @@ def suspect_staff(messages: DataFrame, sender: str, chat: str, least: int = 3) -
 
 
 def code_flag(text: Column, entities: Column) -> Column:
-    """Whether code entities cover at least half of the text's length."""
-    covered = F.aggregate(F.filter(entities, lambda e: e["type"].isin("Pre", "Code")), F.lit(0), lambda a, e: a + e["length"])
-    return (covered > 0) & (covered * 2 >= F.length(text))
+    """Whether there are code entities and they cover at least half of the text's length, which of an empty text they do."""
+    code = F.filter(entities, lambda e: e["type"].isin("Pre", "Code"))
+    covered = F.aggregate(code, F.lit(0).cast("bigint"), lambda a, e: a + e["length"])
+    return (F.array_size(code) > 0) & (covered * 2 >= F.length(text))
 
 
 def media_label(kind: Column, ext: Column, size: Column, duration: Column, name: Column) -> Column:

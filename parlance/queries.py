@@ -598,7 +598,7 @@ def media_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 def code_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = F.struct(F.lit("Pre").alias("type"), F.lit(0).alias("offset"), F.floor(F.length("text") / 5).cast("int").alias("length"))
     other = F.struct(F.lit("Bold").alias("type"), F.lit(0).alias("offset"), F.length("text").alias("length"))
-    entities = F.concat(F.array(other), F.when(F.col("doc_id") % 4 > 0, F.array_repeat(one, (F.col("doc_id") % 4).cast("int"))).otherwise(F.array_repeat(one, 0)))
+    entities = F.concat(F.array(other), F.array_repeat(one, (F.col("doc_id") % 4).cast("int")))
     return _read(spark, sf_dir, "documents").select("doc_id", messages.code_flag(F.col("text"), entities).alias("code"))
 
 

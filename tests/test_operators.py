@@ -52,6 +52,13 @@ def test_select_only(spark):
     assert [r["id"] for r in chats.ordered(plan).collect()][0] == 1
 
 
+def test_code_flag_of_odd_texts(spark):
+    """An empty text is covered by any code entity; without text or length the answer is unknown."""
+    rows = spark.createDataFrame([("a", "", [("Pre", 0)]), ("b", "", [("Bold", 0)]), ("c", "abcd", [("Pre", 2)]), ("d", "abcde", [("Code", 2)]), ("e", "x", [("Pre", 0)]), ("f", None, [("Pre", None)]), ("g", "x", None)], "k string, text string, entities array<struct<type string, length int>>")
+    got = {r["k"]: r["code"] for r in rows.select("k", messages.code_flag(F.col("text"), F.col("entities")).alias("code")).collect()}
+    assert got == {"a": True, "b": False, "c": True, "d": False, "e": False, "f": None, "g": None}
+
+
 def test_id_allocation(spark):
     empty = spark.createDataFrame([], "kind string, raw_id bigint, vid string")
     one = identity.allocate_ids(empty, spark.range(1, 60).withColumnRenamed("id", "raw_id"), "U", digits=2)
