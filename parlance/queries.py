@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions import checksums, links, rule_cases
+from .functions import cards, checksums, links, rule_cases
 from .functions.scrub import leaks_of_hits, rule_counts, scan_column, scrub_column
 from .functions.vocabulary import GENERIC, Roster
 from .operators import audit, chats, identity, messages, render
@@ -436,7 +436,7 @@ for _name, _own in FOUND.items():
 
 @query(f"WITH r AS (SELECT doc_id, unnest(list_filter(regexp_extract_all(text, '[0-9]+'), lambda x: length(x) BETWEEN 13 AND 19)) AS d FROM documents) SELECT doc_id, substr(d, 1, 6) || repeat('*', length(d) - 6) AS masked FROM r WHERE {_LUHN_SQL}")
 def cards_masked_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hits(spark, sf_dir, "card").select("doc_id", F.col("replacement").alias("masked"))
+    return _read(spark, sf_dir, "documents").select("doc_id", F.explode(cards.masked_runs(F.col("text"))).alias("masked"))
 
 
 # ---- scrub and audit -------------------------------------------------------

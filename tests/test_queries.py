@@ -62,3 +62,20 @@ def test_entry_points(spark):
     assert set(queries.QUERIES) <= set(names)
     assert set(__spark_entry__.oracle_sql()) <= set(names)
     assert __spark_entry__.entry(spark).columns == ["doc_id", "text", "n_hits"]
+
+
+def _against_sql(spark, tmp_path, name, texts):
+    """Rows of a documents query over `texts`, and what its SQL gives."""
+    frame = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    frame.to_parquet(tmp_path / "documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    want = con.execute(queries.ORACLES[name])
+    names = sorted(d[0] for d in want.description)
+    return _rows(queries.QUERIES[name](spark, str(tmp_path)).toPandas(), names), _rows(want.df(), names)
+
+
+def test_card_runs_inside_hashes(spark, tmp_path):
+    """A run that passes Luhn counts inside a hash, beside letters, and if its digits are all the same."""
+    got, want = _against_sql(spark, tmp_path, "cards_masked_bin", ['token = "068c002651439458202064d35406d6b34bf01abe"', "a4111111111111111b 4111111111111111,4111111111111112", "0000000000000", None, ""])
+    assert got == want and len(got) == 4
