@@ -43,6 +43,12 @@ def test_rules(rule, k):
         assert s.scan(want) == [] and s.scrub(want) == want
 
 
+@pytest.mark.parametrize(("word", "stays"), [("von", False), ("verbe", False), ("vi", False), ("ver enheitauein", False), ("бпла", False), ("v", True), ("v.", True), ("ver.", True), ("version", True), ("1с", True)])
+def test_words_that_only_begin_like_a_version(word, stays):
+    raw = f"in {word} 20.174.119.35 la eux"
+    assert (Scrubber().scrub(raw) == raw) is stays
+
+
 def test_every_rule_has_cases():
     names = {r.name for r in (*TABLE, *CONTEXTUAL)}
     assert names <= set(rule_cases.CASES)
