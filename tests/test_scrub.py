@@ -49,6 +49,21 @@ def test_words_that_only_begin_like_a_version(word, stays):
     assert (Scrubber().scrub(raw) == raw) is stays
 
 
+@pytest.mark.parametrize("rule", "api_key b64_secret cookie fb_token hex_secret jwt known_secret private_key txid wallet".split())
+@pytest.mark.parametrize("k", [2238, 4169, 5522, 20229])
+def test_hashes_that_hold_a_card_number(rule, k):
+    """Hashes of these keys hold runs of digits that pass Luhn; the rule takes the whole hash all the same."""
+    s = Scrubber(Anonymize(card_bins=rule_cases.BINS))
+    for raw, want, kinds in rule_cases.as_texts(rule, _values(k)):
+        assert s.scrub(raw) == want
+        assert ",".join(sorted({kind for kind, _ in s.scan(raw)})) == kinds
+
+
+@pytest.mark.parametrize("raw", [f"{CARD}exp1229", f"ab1c{CARD}", f"card{CARD}", f"{CARD}cvv123xyz456"])
+def test_cards_in_identifiers_that_no_rule_takes(raw):
+    assert CARD not in Scrubber().scrub(raw) and CARD[:6] + "*" * 10 in Scrubber().scrub(raw)
+
+
 def test_every_rule_has_cases():
     names = {r.name for r in (*TABLE, *CONTEXTUAL)}
     assert names <= set(rule_cases.CASES)
