@@ -14,6 +14,8 @@ _HOST = re.compile(r"^(?:[a-z][a-z0-9+.-]*://)?(?:[^/?#@\s]*@)?(\[[0-9a-f:]+\]|[
 SUFFIXES = "com net org info biz ru рф kz ua by uz kg am ge az io me co uk de fr es it in us eu app dev online site store shop pro tv cc su ai xyz top club money pay tech cloud live news agency digital finance games".split()
 WORDS = frozenset("money pay store app it in me shop pro live news top club site online cloud games digital finance agency tech us".split())
 BARE = re.compile(rf"(?<![\w@./-])(?:[\w](?:[\w-]{{0,61}}[\w])?\.){{1,4}}(?P<tld>{'|'.join(sorted(SUFFIXES, key=len, reverse=True))})(?![\w-])(?!\.\w)", re.IGNORECASE)
+#: What every bare host ends with.
+BARE_END = re.compile(rf"\.(?:{'|'.join(sorted(SUFFIXES, key=len, reverse=True))})(?![\w-])", re.IGNORECASE)
 DOCUMENT = re.compile(r"\.(?:md|py|js|txt|json|xml|pdf|docx?|xlsx?|png|jpe?g)$", re.IGNORECASE)
 
 

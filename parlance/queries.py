@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import cards, checksums, links, rule_cases
-from .functions.scrub import leaks_of_hits, rule_counts, scan_column, scrub_column
+from .functions.scrub import check_column, rules_column, scan_column, scrub_column, text_column
 from .functions.vocabulary import GENERIC, Roster
 from .operators import audit, chats, identity, messages, render
-from .plans.parallel import spread
+from .plans.parallel import dealt, spread
 from .plans.policy import Anonymize, ChatFilter, Output
 from .sources import store
 
@@ -454,15 +454,15 @@ def scrub_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def scrub_hits_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rule_counts(_texts(spark, sf_dir).select(scrub_column(F.col("text")).alias("s")), "s.hits")
+    found = _texts(spark, sf_dir).select(F.explode(rules_column(F.col("text"))).alias("rule"))
+    return found.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
 def leak_scan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leaks before and after scrubbing; after it there are none. One pass scrubs a text and scans the result."""
-    done = _texts(spark, sf_dir).select(scrub_column(F.col("text")).alias("s"))
-    per = done.select(F.size(leaks_of_hits(F.col("s.hits"))).alias("raw"), F.size(scan_column(F.col("s.text"))).alias("scrubbed"))
-    sums = per.agg(F.sum("raw").alias("raw"), F.sum("scrubbed").alias("scrubbed"))
+    """Leaks before and after scrubbing; after it there are none. One pass scrubs a text and scans the result, if that differs."""
+    done = _texts(spark, sf_dir).select(check_column(F.col("text"), shown=False).alias("s"))
+    sums = done.agg(F.sum("s.raw").alias("raw"), F.sum("s.left_over").alias("scrubbed"))
     return sums.selectExpr("stack(2, 'raw', raw, 'scrubbed', scrubbed) AS (state, leaks)")
 
 
@@ -482,7 +482,7 @@ def scrub_with_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     policy = Anonymize(custom_patterns=(r"licensed under[^.\n]{1,60}",), keep_terms=("MIT",))
     roster = Roster(usernames={"worthless_": "U10001"}, organisations=("Released",), keep=("MIT",))
     d = _texts(spark, sf_dir)
-    return d.select("doc_id", scrub_column(F.col("text"), policy, roster).alias("s")).select("doc_id", F.col("s.text").alias("text"))
+    return d.select("doc_id", text_column(F.col("text"), policy, roster).alias("text"))
 
 
 @query(r"SELECT doc_id, unnest(regexp_extract_all(text, '(?i)licensed under [^.\n]{1,60}')) AS surface, '<redacted>' AS shown FROM documents")
@@ -648,11 +648,10 @@ def given_name_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cases(spark: SparkSession, sf_dir: str, rule: str) -> DataFrame:
     """What the scrubber makes of a rule's cases with every customer's values, what the scanner finds in them, and that it finds nothing after."""
-    values = _read(spark, sf_dir, "customer").selectExpr("c_custkey AS k", *rule_cases.COLUMNS)
-    rows = spread(values.selectExpr("k", f"inline(array({', '.join(f'named_struct({chr(39)}case_id{chr(39)}, {i}, {chr(39)}text{chr(39)}, {raw})' for i, (raw, _, _) in enumerate(rule_cases.as_sql(rule)))}))"))
-    policy = Anonymize(card_bins=rule_cases.BINS)
-    done = rows.select("k", "case_id", scrub_column(F.col("text"), policy)["text"].alias("text"), F.array_join(F.sort_array(F.array_distinct(scan_column(F.col("text"), policy)["kind"])), ",").alias("kinds"))
-    return done.select("k", "case_id", "text", "kinds", F.size(scan_column(F.col("text"), policy)).alias("left_over"))
+    values = dealt(_read(spark, sf_dir, "customer").selectExpr("c_custkey AS k")).selectExpr("k", *rule_cases.COLUMNS)
+    rows = values.selectExpr("k", f"inline(array({', '.join(f'named_struct({chr(39)}case_id{chr(39)}, {i}, {chr(39)}text{chr(39)}, {raw})' for i, (raw, _, _) in enumerate(rule_cases.as_sql(rule)))}))")
+    done = rows.select("k", "case_id", check_column(F.col("text"), Anonymize(card_bins=rule_cases.BINS)).alias("c"))
+    return done.select("k", "case_id", F.col("c.text").alias("text"), F.array_join("c.kinds", ",").alias("kinds"), F.col("c.left_over").alias("left_over"))
 
 
 def _rule_query(rule: str) -> None:

@@ -79,3 +79,18 @@ def test_card_runs_inside_hashes(spark, tmp_path):
     """A run that passes Luhn counts inside a hash, beside letters, and if its digits are all the same."""
     got, want = _against_sql(spark, tmp_path, "cards_masked_bin", ['token = "068c002651439458202064d35406d6b34bf01abe"', "a4111111111111111b 4111111111111111,4111111111111112", "0000000000000", None, ""])
     assert got == want and len(got) == 4
+
+
+def test_check_column_agrees_with_scrubber_and_scanner(spark):
+    """Texts that repeat, texts that change and texts that don't, in several batches."""
+    from pyspark.sql import functions as F
+
+    from parlance.functions.scrub import check_column, rules_column, scan_column, scrub_column, text_column
+
+    raw = [None, "", "plain words", "пароль: Zx81kk", "to ann@example.org and ann@example.org", "+7 (916) 123-45-67", "<email> x", "x" * 300 + " ann@example.org"] * 3
+    t = spark.createDataFrame([(i, x) for i, x in enumerate(raw)], "i int, t string")
+    one = t.select("i", "t", check_column(F.col("t")).alias("c"), text_column(F.col("t")).alias("shown"), rules_column(F.col("t")).alias("rules"))
+    two = t.select("i", scrub_column(F.col("t")).alias("s"), scan_column(F.col("t")).alias("raw")).select("i", "s", "raw", scan_column(F.col("s.text")).alias("left"))
+    for r in one.join(two, "i").collect():
+        assert r["c"]["text"] == r["shown"] == r["s"]["text"] and r["rules"] == [h["rule"] for h in r["s"]["hits"]]
+        assert r["c"]["kinds"] == sorted({x["kind"] for x in r["raw"]}) and (r["c"]["raw"], r["c"]["left_over"]) == (len(r["raw"]), len(r["left"]))
